@@ -1,41 +1,47 @@
 """MD5 of a raw record, to find copies of the same record.
 
 The hashed text is the record as a JSON object with sorted keys, ``", "`` and ``": "`` as separators
-and all characters beyond ASCII escaped, so the digest can be recomputed outside Spark.
+and all characters beyond ASCII escaped, so the digest can be recomputed outside Spark. These are SQL
+expressions rather than columns, as a record has many fields.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def json_text(value: Column) -> Column:
+def json_text(value: str) -> str:
     """A text value as a JSON string, or ``null``."""
-    in_array = F.to_json(F.array(value))
-    return F.substring(in_array, F.lit(2), F.length(in_array) - 2)
+    in_array = f"to_json(array({value}))"
+    return f"substring({in_array}, 2, length({in_array}) - 2)"
+
 
+def record_text(fields: Mapping[str, str]) -> str:
+    """JSON object of ``{name: JSON text}``; a field whose JSON text is null is absent from it."""
+    members = ", ".join(f"concat('\"{name}\": ', {fields[name]})" for name in sorted(fields))
+    return f"concat('{{', concat_ws(', ', {members}), '}}')"
 
-def _hex4(code: Column) -> Column:
-    return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(code), 4, "0")))
 
+def _hex4(code: str) -> str:
+    return f"concat('\\\\u', lower(lpad(hex({code}), 4, '0')))"
 
-def _escaped(character: Column) -> Column:
-    code = F.ascii(character)
-    beyond = code - 0x10000
-    pair = F.concat(_hex4(F.lit(0xD800) + F.floor(beyond / 1024)), _hex4(F.lit(0xDC00) + F.pmod(beyond, F.lit(1024))))
-    return F.when(code < 128, character).when(code < 0x10000, _hex4(code)).otherwise(pair)
 
+def ascii_only(text: str) -> str:
+    """Every character beyond ASCII as a ``\\uXXXX`` escape (two for those beyond the basic plane).
 
-def ascii_only(text: Column) -> Column:
-    """Every character beyond ASCII as a ``\\uXXXX`` escape; plain text skips the per-character work."""
-    escaped = F.array_join(F.transform(F.split(text, ""), _escaped), "")
-    return F.when(text.rlike(r"[^\x00-\x7F]"), escaped).otherwise(text)
+    ``text`` is a column name. Text that is plain already skips the work per character.
+    """
+    high, low = "55296 + (ascii(c) - 65536) div 1024", "56320 + (ascii(c) - 65536) % 1024"
+    escaped = (
+        f"CASE WHEN ascii(c) < 128 THEN c WHEN ascii(c) < 65536 THEN {_hex4('ascii(c)')} "
+        f"ELSE concat({_hex4(high)}, {_hex4(low)}) END"
+    )
+    return (
+        f"CASE WHEN {text} RLIKE '[^\\\\x00-\\\\x7F]' "
+        f"THEN array_join(transform(split({text}, ''), c -> {escaped}), '') ELSE {text} END"
+    )
 
 
-def row_hash(fields: Mapping[str, Column]) -> Column:
-    """MD5 over ``{name: JSON text}``; a field whose JSON text is null is absent from the record."""
-    members = [F.concat(F.lit(f'"{name}": '), ascii_only(fields[name])) for name in sorted(fields)]
-    return F.md5(F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}")))
+def row_hash(record: str) -> str:
+    """MD5 of a record text held in a column."""
+    return f"md5({ascii_only(record)})"

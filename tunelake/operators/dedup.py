@@ -32,11 +32,13 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("rows")).where("rows > 1").select(key)
 
 
-def split_on_unique_key(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key is unique, rows whose key is shared).
+def with_shared_keys(df: DataFrame, among: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_shared_<key>``: true where another row of ``among`` carries the same key, else null.
 
-    The count is combined before the shuffle; the joins are left to Spark, which broadcasts the
-    repeated keys when there are few and splits a hot key when there are many.
+    The counts are combined before the shuffle. The joins are left to Spark, which broadcasts the
+    repeated keys when there are few and splits the partition of a hot key when there are many.
     """
-    repeated = repeated_keys(df, key)
-    return df.join(repeated, key, "left_anti"), df.join(repeated, key, "left_semi")
+    for key in keys:
+        repeated = repeated_keys(among, key).select(key, F.lit(True).alias(f"_shared_{key}"))
+        df = df.join(repeated, key, "left")
+    return df

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,32 +17,48 @@ RAW_FILES = {
 }
 
 
-@dataclass(frozen=True)
 class Bronze:
-    listeners: DataFrame
-    artists: DataFrame
-    tracks: DataFrame
-    streams: DataFrame
+    """The four staging tables; each is obtained on first use."""
+
+    def __init__(self, obtain: Callable[[str], DataFrame]):
+        self._obtain = obtain
+
+    @cached_property
+    def listeners(self) -> DataFrame:
+        return self._obtain("listeners")
+
+    @cached_property
+    def artists(self) -> DataFrame:
+        return self._obtain("artists")
+
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return self._obtain("tracks")
+
+    @cached_property
+    def streams(self) -> DataFrame:
+        return self._obtain("streams")
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in schemas.BRONZE}
 
 
 def load(spark: SparkSession, raw_dir: str, loaded_at: str, json_lines: bool = False) -> Bronze:
     """Read the four raw inputs. ``loaded_at`` is one timestamp for the whole batch."""
-    paths = {entity: f"{raw_dir.rstrip('/')}/{name}" for entity, name in RAW_FILES.items()}
-    documents = {
-        entity: raw_files.read_json(spark, paths[entity], entity, loaded_at, json_lines)
-        for entity in ("listeners", "artists", "tracks")
-    }
-    return Bronze(streams=raw_files.read_csv(spark, paths["streams"], "streams", loaded_at), **documents)
+    def obtain(entity: str) -> DataFrame:
+        path = f"{raw_dir.rstrip('/')}/{RAW_FILES[entity]}"
+        if entity == "streams":
+            return raw_files.read_csv(spark, path, entity, loaded_at)
+        return raw_files.read_json(spark, path, entity, loaded_at, json_lines)
+
+    return Bronze(obtain)
 
 
 def write(store: LayerStore, bronze: Bronze) -> Bronze:
-    return Bronze(**{
-        name: store.replace(LAYER, name, df, schemas.BRONZE[name]) for name, df in bronze.tables().items()
-    })
+    for name, df in bronze.tables().items():
+        store.write(LAYER, name, df)
+    return read(store)
 
 
 def read(store: LayerStore) -> Bronze:
-    return Bronze(**{name: store.read(LAYER, name, ddl) for name, ddl in schemas.BRONZE.items()})
+    return Bronze(lambda name: store.read(LAYER, name, schemas.BRONZE[name]))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass
+from datetime import date, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +12,13 @@ from pyspark.sql import functions as F
 from tunelake import schemas
 from tunelake.functions import classify, dates, numbers
 from tunelake.operators.lookups import having_key
+from tunelake.operators.rollups import roll_up
 from tunelake.operators.surrogate import with_dense_key
-from tunelake.plans.silver import Silver
+from tunelake.plans.silver import Silver, Stage, unstaged
 from tunelake.sources.layers import LayerStore, gathered
 
 LAYER = "gold"
+WORK_LAYER = "gold_work"
 
 
 @dataclass(frozen=True)
@@ -28,32 +32,6 @@ class Calendar:
     current_year: int = 2025
 
 
-@dataclass(frozen=True)
-class Gold:
-    dim_date: DataFrame
-    dim_device: DataFrame
-    dim_artist: DataFrame
-    dim_listener: DataFrame
-    dim_track: DataFrame
-    fact_streams: DataFrame
-    agg_daily_listener_streams: DataFrame
-    agg_daily_track_streams: DataFrame
-    agg_monthly_genre_streams: DataFrame
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
-
-    def for_listeners(self, listener_ids: DataFrame) -> Gold:
-        """The same star with the plays of some listeners only, for per-listener lookups."""
-        listeners = having_key(self.dim_listener, listener_ids, "listener_id")
-        return replace(
-            self,
-            dim_listener=listeners,
-            fact_streams=having_key(self.fact_streams, listeners, "listener_key"),
-            agg_daily_listener_streams=having_key(self.agg_daily_listener_streams, listeners, "listener_key"),
-        )
-
-
 # --- dimensions -------------------------------------------------------------------------------------
 
 def dim_date(spark: SparkSession, calendar: Calendar) -> DataFrame:
@@ -82,7 +60,7 @@ def dim_date(spark: SparkSession, calendar: Calendar) -> DataFrame:
 
 def dim_device(spark: SparkSession) -> DataFrame:
     rows = [(key, kind, category) for key, (kind, category) in enumerate(classify.DEVICE_CATEGORIES, start=1)]
-    return spark.createDataFrame(rows, schemas.struct_of(schemas.GOLD["dim_device"]))
+    return spark.createDataFrame(rows, schemas.GOLD["dim_device"])
 
 
 def dim_artist(artists: DataFrame, calendar: Calendar) -> DataFrame:
@@ -214,22 +192,118 @@ def agg_monthly_genre_streams(fact: DataFrame, tracks: DataFrame, days: DataFram
     return schemas.conform(counted, schemas.GOLD["agg_monthly_genre_streams"])
 
 
+def listener_tracks(fact: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Plays per (listener, track), with the track's artist and genre and the first hearing.
+
+    Repeated plays are merged before the first shuffle, and the tracks are looked up for the merged
+    rows only. Everything in it can be added up further, and a distinct count of tracks per listener,
+    or of listeners per track, is a row count.
+    """
+    pairs = roll_up(fact, "listener_key", "track_key", extra=(F.min("streamed_at").alias("first_heard"),))
+    return pairs.join(tracks.select("track_key", "artist_key", "genre"), "track_key")
+
+
 # --- the layer --------------------------------------------------------------------------------------
 
-def build(spark: SparkSession, silver: Silver, calendar: Calendar, stage=lambda name, df: df) -> Gold:
-    """Derive the gold tables; ``stage`` is as in the silver layer."""
-    days = stage("dim_date", dim_date(spark, calendar))
-    devices = stage("dim_device", dim_device(spark))
-    artists = stage("dim_artist", dim_artist(silver.artists, calendar))
-    listeners = stage("dim_listener", dim_listener(silver.listeners, calendar))
-    tracks = stage("dim_track", dim_track(silver.tracks, artists))
-    fact = stage("fact_streams", fact_streams(silver.streams, listeners, tracks, devices, days))
-    return Gold(
-        days, devices, artists, listeners, tracks, fact,
-        stage("agg_daily_listener_streams", agg_daily_listener_streams(fact, tracks)),
-        stage("agg_daily_track_streams", agg_daily_track_streams(fact)),
-        stage("agg_monthly_genre_streams", agg_monthly_genre_streams(fact, tracks, days)),
-    )
+class Gold:
+    """The star and its aggregates, each table derived on first use; ``stage`` is as in the silver layer."""
+
+    def __init__(self, spark: SparkSession, silver: Silver, calendar: Calendar, stage: Stage = unstaged):
+        self._spark = spark
+        self._silver = silver
+        self._calendar = calendar
+        self._stage = stage
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._stage("dim_date", dim_date(self._spark, self._calendar))
+
+    @cached_property
+    def dim_device(self) -> DataFrame:
+        return self._stage("dim_device", dim_device(self._spark))
+
+    @cached_property
+    def dim_artist(self) -> DataFrame:
+        return self._stage("dim_artist", dim_artist(self._silver.artists, self._calendar))
+
+    @cached_property
+    def dim_listener(self) -> DataFrame:
+        return self._stage("dim_listener", dim_listener(self._silver.listeners, self._calendar))
+
+    @cached_property
+    def dim_track(self) -> DataFrame:
+        return self._stage("dim_track", dim_track(self._silver.tracks, self.dim_artist))
+
+    @cached_property
+    def fact_streams(self) -> DataFrame:
+        fact = fact_streams(self._silver.streams, self.dim_listener, self.dim_track, self.dim_device, self.dim_date)
+        return self._stage("fact_streams", fact)
+
+    @cached_property
+    def agg_daily_listener_streams(self) -> DataFrame:
+        counted = agg_daily_listener_streams(self.fact_streams, self.dim_track)
+        return self._stage("agg_daily_listener_streams", counted)
+
+    @cached_property
+    def agg_daily_track_streams(self) -> DataFrame:
+        return self._stage("agg_daily_track_streams", agg_daily_track_streams(self.fact_streams))
+
+    @cached_property
+    def agg_monthly_genre_streams(self) -> DataFrame:
+        counted = agg_monthly_genre_streams(self.fact_streams, self.dim_track, self.dim_date)
+        return self._stage("agg_monthly_genre_streams", counted)
+
+    @cached_property
+    def listener_tracks(self) -> DataFrame:
+        """The roll-up that most views start from; not part of the layer itself."""
+        return self._stage("listener_tracks", listener_tracks(self.fact_streams, self.dim_track))
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in schemas.GOLD}
+
+    def starting_from(self, **tables: DataFrame) -> Gold:
+        """Take tables that exist already instead of deriving them."""
+        vars(self).update(tables)
+        return self
+
+    def for_listeners(self, listener_ids: DataFrame) -> Gold:
+        """The same star with the plays of some listeners only, for per-listener lookups."""
+        listeners = having_key(self.dim_listener, listener_ids, "listener_id")
+        by_listener = ("fact_streams", "agg_daily_listener_streams", "listener_tracks")
+        return GivenGold(**{
+            **self.tables(),
+            "dim_listener": listeners,
+            **{name: having_key(getattr(self, name), listeners, "listener_key") for name in by_listener},
+        })
+
+    def between(self, first_day: str, last_day: str) -> Gold:
+        """The star restricted to a span of days; of a written star only the months concerned are read."""
+        first, last = (int(day.replace("-", "")) for day in (first_day, last_day))
+
+        def restricted(df: DataFrame) -> DataFrame:
+            kept = df.where(F.col("date_key").between(first, last))
+            if MONTH_FOLDER in df.columns:
+                kept = kept.where(F.col(MONTH_FOLDER).between(first // 100, last // 100))
+            return kept
+
+        months = F.col("year") * 100 + F.col("month")
+        whole_months = self.agg_monthly_genre_streams.where(months.between(first // 100, last // 100))
+        if not (first_day.endswith("-01") and _is_month_end(last_day)):
+            raise ValueError("a span must start and end with a month, as some aggregates are monthly")
+        tables = {**self.tables(), **{name: restricted(getattr(self, name)) for name in BY_MONTH}}
+        pairs = listener_tracks(tables["fact_streams"], self.dim_track)
+        return GivenGold(**{**tables, "agg_monthly_genre_streams": whole_months, "listener_tracks": pairs})
+
+
+class GivenGold(Gold):
+    """Gold tables that exist already."""
+
+    def __init__(self, **tables: DataFrame):
+        vars(self).update(tables)
+
+
+def _is_month_end(day: str) -> bool:
+    return (date.fromisoformat(day) + timedelta(days=1)).day == 1
 
 
 # Tables that grow with the events, written in one folder per month.
@@ -238,9 +312,12 @@ MONTH_FOLDER = "date_month"
 
 
 def write(store: LayerStore, silver: Silver, calendar: Calendar) -> Gold:
-    """Build the layer, writing each table before the next ones read it."""
+    """Derive the layer, writing each table before the next ones read it."""
 
     def stage(name: str, df: DataFrame) -> DataFrame:
+        if name == "listener_tracks":
+            pairs = schemas.conform(df, schemas.LISTENER_TRACKS)
+            return store.replace(WORK_LAYER, name, pairs, schemas.LISTENER_TRACKS)
         ddl = schemas.GOLD[name]
         if name not in BY_MONTH:
             return store.replace(LAYER, name, schemas.conform(df, ddl), ddl)
@@ -251,22 +328,11 @@ def write(store: LayerStore, silver: Silver, calendar: Calendar) -> Gold:
         ddl = f"{ddl}, {MONTH_FOLDER} int"
         return store.replace(LAYER, name, schemas.conform(monthly, ddl), ddl, MONTH_FOLDER)
 
-    return build(store.spark, silver, calendar, stage)
+    gold = Gold(store.spark, silver, calendar, stage)
+    return GivenGold(**gold.tables(), listener_tracks=gold.listener_tracks)
 
 
 def read(store: LayerStore) -> Gold:
     months = {name: f", {MONTH_FOLDER} int" for name in BY_MONTH}
-    return Gold(**{name: store.read(LAYER, name, ddl + months.get(name, "")) for name, ddl in schemas.GOLD.items()})
-
-
-def between(gold: Gold, first_day: str, last_day: str) -> Gold:
-    """The star restricted to a span of days; only the folders of its months are read."""
-    first, last = (int(day.replace("-", "")) for day in (first_day, last_day))
-
-    def restrict(df: DataFrame) -> DataFrame:
-        kept = df.where(F.col("date_key").between(first, last))
-        if MONTH_FOLDER in df.columns:
-            kept = kept.where(F.col(MONTH_FOLDER).between(first // 100, last // 100))
-        return kept
-
-    return replace(gold, **{name: restrict(getattr(gold, name)) for name in BY_MONTH})
+    tables = {name: store.read(LAYER, name, ddl + months.get(name, "")) for name, ddl in schemas.GOLD.items()}
+    return GivenGold(**tables, listener_tracks=store.read(WORK_LAYER, "listener_tracks", schemas.LISTENER_TRACKS))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tunelake.functions import classify, numbers
-from tunelake.operators.ranking import top_per_group, with_percent_rank, with_rank
+from tunelake.operators.ranking import top_per_group, with_percent_rank, with_ranks
 from tunelake.operators.rollups import roll_up, summed
 from tunelake.plans.gold import Gold
 
@@ -32,15 +32,15 @@ def _listener_names(gold: Gold, *columns: str) -> DataFrame:
     return gold.dim_listener.select("listener_key", "listener_id", F.col("full_name").alias("listener_name"), *columns)
 
 
-def _listener_tracks(gold: Gold, *extra) -> DataFrame:
-    """Plays per (listener, track) with the track's artist and genre."""
-    pairs = roll_up(gold.fact_streams, "listener_key", "track_key", extra=extra)
-    return pairs.join(gold.dim_track.select("track_key", "artist_key", "genre"), "track_key")
+def _track_plays(gold: Gold, *columns: str) -> DataFrame:
+    """Plays per track from the daily aggregate, which is far smaller than the fact."""
+    plays = gold.agg_daily_track_streams.groupBy("track_key").agg(F.sum("stream_count").alias("streams"))
+    return plays.join(gold.dim_track.select("track_key", *columns), "track_key")
 
 
 def _listener_totals(gold: Gold) -> DataFrame:
     """Measures and distinct tracks, artists and genres per listener."""
-    return _listener_tracks(gold).groupBy("listener_key").agg(
+    return gold.listener_tracks.groupBy("listener_key").agg(
         *summed(),
         F.count("*").alias("unique_tracks"),
         F.countDistinct("artist_key").alias("unique_artists"),
@@ -151,12 +151,15 @@ def listener_summary(gold: Gold) -> DataFrame:
 
 def track_popularity(gold: Gold) -> DataFrame:
     """Plays, reach and ranks per track."""
-    reach = F.countDistinct("listener_key").alias("unique_listeners")
-    per_track = roll_up(gold.fact_streams, "track_key", extra=(reach,))
-    per_track = per_track.join(gold.dim_track.select("track_key", "genre"), "track_key")
-    ranked = with_rank(with_rank(per_track, "streams", "overall_rank"), "streams", "genre_rank", by=["genre"])
+    per_track = gold.listener_tracks.groupBy("track_key", "genre").agg(
+        *summed(), F.count("*").alias("unique_listeners")
+    )
+    ranked = with_ranks(per_track, _track_plays(gold, "genre"), "streams", "overall_rank", "genre", "genre_rank")
+    tracks = gold.dim_track.select(
+        "track_key", "track_id", "title", "album", "release_year", "duration_bucket", "explicit", "artist_key"
+    )
     artists = gold.dim_artist.select("artist_key", "artist_id", F.col("name").alias("artist_name"))
-    return ranked.join(gold.dim_track.drop("genre"), "track_key").join(artists, "artist_key").select(
+    return ranked.join(tracks, "track_key").join(artists, "artist_key").select(
         "track_id", "title", "album", "artist_name", "artist_id", "genre", "release_year", "duration_bucket", "explicit",
         F.col("streams").alias("stream_count"),
         "unique_listeners", "full_plays",
@@ -169,18 +172,25 @@ def track_popularity(gold: Gold) -> DataFrame:
 
 def artist_popularity(gold: Gold) -> DataFrame:
     """Plays, catalogue, reach and ranks per artist."""
-    pairs = roll_up(gold.fact_streams, "listener_key", "track_key")
-    per_artist = pairs.join(gold.dim_track.select("track_key", "artist_key", "album"), "track_key").groupBy(
-        "artist_key"
-    ).agg(
-        *summed(),
-        F.countDistinct("track_key").alias("tracks_in_catalog"),
-        F.countDistinct("album").alias("albums"),
-        F.countDistinct("listener_key").alias("unique_listeners"),
-    ).join(gold.dim_artist.select("artist_key", "genre"), "artist_key")
-    ranked = with_rank(with_rank(per_artist, "streams", "overall_rank"), "streams", "genre_rank", by=["genre"])
-    return ranked.join(gold.dim_artist.drop("genre"), "artist_key").select(
-        "artist_id", F.col("name").alias("artist_name"), "genre", "country", "popularity_tier", "years_active",
+    reach = (
+        gold.listener_tracks.groupBy("artist_key", "listener_key").agg(*summed())
+        .groupBy("artist_key").agg(*summed(), F.count("*").alias("unique_listeners"))
+    )
+    played = _track_plays(gold, "artist_key", "album")
+    catalogue = played.groupBy("artist_key").agg(
+        F.count("*").alias("tracks_in_catalog"), F.countDistinct("album").alias("albums")
+    )
+    genres = gold.dim_artist.select("artist_key", "genre")
+    population = played.groupBy("artist_key").agg(F.sum("streams").alias("streams")).join(genres, "artist_key")
+    ranked = with_ranks(
+        reach.join(genres, "artist_key"), population, "streams", "overall_rank", "genre", "genre_rank"
+    )
+    artists = gold.dim_artist.select(
+        "artist_key", "artist_id", F.col("name").alias("artist_name"), "country", "popularity_tier", "years_active",
+        "monthly_listeners",
+    )
+    return ranked.join(catalogue, "artist_key").join(artists, "artist_key").select(
+        "artist_id", "artist_name", "genre", "country", "popularity_tier", "years_active",
         "monthly_listeners", "tracks_in_catalog", "albums",
         F.col("streams").alias("total_streams"),
         "unique_listeners", "full_plays",
@@ -253,7 +263,7 @@ def top_artists_by_listener(gold: Gold, limit: int = TOP_ROWS) -> DataFrame:
         "artist_key", "artist_id", F.col("name").alias("artist_name"), F.col("genre").alias("artist_genre"),
         "popularity_tier",
     )
-    per_artist = _listener_tracks(gold).groupBy("listener_key", "artist_key").agg(*summed())
+    per_artist = gold.listener_tracks.groupBy("listener_key", "artist_key").agg(*summed())
     ranked = top_per_group(
         per_artist.join(artists, "artist_key"), ["listener_key"], [F.desc("played_ms"), F.asc("artist_id")],
         limit, "artist_rank",
@@ -269,7 +279,7 @@ def top_artists_by_listener(gold: Gold, limit: int = TOP_ROWS) -> DataFrame:
 
 def top_tracks_by_listener(gold: Gold, limit: int = TOP_ROWS) -> DataFrame:
     """Tracks by number of plays. Ties go to the smaller track id."""
-    pairs = roll_up(gold.fact_streams, "listener_key", "track_key")
+    pairs = gold.listener_tracks.drop("artist_key", "genre")
     ranked = top_per_group(
         pairs.join(gold.dim_track.select("track_key", "track_id"), "track_key"),
         ["listener_key"], [F.desc("streams"), F.asc("track_id")], limit, "track_rank",
@@ -295,7 +305,7 @@ def top_genre_by_listener(gold: Gold) -> DataFrame:
     ``genre_share_pct`` is the share among the rows that are left, so always 100 (null for a genre
     that rounds to no minutes); ``genre_share_of_total_pct`` is the share of all the listener's time.
     """
-    per_genre = _listener_tracks(gold).groupBy("listener_key", "genre").agg(
+    per_genre = gold.listener_tracks.groupBy("listener_key", "genre").agg(
         *summed(),
         F.count("*").alias("unique_tracks"),
         F.countDistinct("artist_key").alias("unique_artists"),
@@ -397,9 +407,8 @@ def weekday_vs_weekend(gold: Gold) -> DataFrame:
 def discovery_stats(gold: Gold) -> DataFrame:
     """Artists met per quarter. A quarter counts the artists of whom some track was first heard in it,
     so an artist may count in several; the ``first_…`` columns count each artist once, at first hearing."""
-    first_heard = _listener_tracks(gold, F.min("streamed_at").alias("first_heard"))
     quarters = range(1, 5)
-    per_artist = first_heard.groupBy("listener_key", "artist_key").agg(
+    per_artist = gold.listener_tracks.groupBy("listener_key", "artist_key").agg(
         F.count("*").alias("tracks"),
         *(F.max(F.when(F.quarter("first_heard") == q, 1).otherwise(0)).alias(f"_q{q}") for q in quarters),
         F.quarter(F.min("first_heard")).alias("_first_quarter"),
@@ -421,7 +430,10 @@ def year_in_review_summary(gold: Gold) -> DataFrame:
     """Everything about a listener's year in one row, and how they compare with all others."""
     listeners = _listener_names(gold, "subscription_type", "country")
     days = _listener_days(gold).select("listener_key", "days")
-    compared = with_percent_rank(_listener_totals(gold), "played_ms", "_percent_rank")
+    population = gold.agg_daily_listener_streams.groupBy("listener_key").agg(
+        F.sum("total_duration_ms").alias("played_ms")
+    )
+    compared = with_percent_rank(_listener_totals(gold), population, "played_ms", "_percent_rank")
     ms = F.col("played_ms")
     return compared.join(days, "listener_key").join(listeners, "listener_key").select(
         "listener_id", "listener_name", "subscription_type", "country",

@@ -5,16 +5,15 @@ Rows that break a key or a domain rule go to the rejected records instead of sto
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, fields
-from functools import reduce
+from collections.abc import Callable, Sequence
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunelake import schemas
 from tunelake.functions import dates, text
-from tunelake.operators.dedup import drop_copies, split_on_unique_key
+from tunelake.operators.dedup import drop_copies, with_shared_keys
 from tunelake.operators.lookups import having_key, lacking_key
 from tunelake.plans.bronze import Bronze
 from tunelake.sources.layers import LayerStore
@@ -24,18 +23,6 @@ LAYER = "silver"
 SUBSCRIPTIONS = ["free", "premium"]
 
 
-@dataclass(frozen=True)
-class Silver:
-    listeners: DataFrame
-    artists: DataFrame
-    tracks: DataFrame
-    streams: DataFrame
-    rejected_records: DataFrame
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
-
-
 # --- cleaning: one projection per table -------------------------------------------------------
 
 def clean_listeners(raw: DataFrame) -> DataFrame:
@@ -127,15 +114,23 @@ def rejections(df: DataFrame, table: str, id_column: str, reason: Column) -> Dat
     )
 
 
-def enforce(candidates: DataFrame, table: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(sound rows, rejections) by the domain rules first and then by each unique key."""
-    judged = candidates.withColumn("_broken", broken_rule(table))
-    refused = [rejections(judged.where("_broken is not null"), table, keys[0], F.col("_broken"))]
-    sound = judged.where("_broken is null").drop("_broken")
-    for key in keys:
-        sound, shared = split_on_unique_key(sound, key)
-        refused.append(rejections(shared, table, keys[0], text.labelled(f"Duplicate {key}: ", F.col(key))))
-    return sound, reduce(DataFrame.unionByName, refused)
+def judged(candidates: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """Add ``_reason``: why a row is refused, or null for a sound one.
+
+    The domain rules come first; rows that pass them must not share a key with one another.
+    """
+    ruled = candidates.withColumn("_broken", broken_rule(table))
+    flagged = with_shared_keys(ruled, ruled.where("_broken is null"), keys)
+    shared = (F.when(F.col(f"_shared_{key}"), text.labelled(f"Duplicate {key}: ", F.col(key))) for key in keys)
+    return flagged.select(*candidates.columns, F.coalesce("_broken", *shared).alias("_reason"))
+
+
+def sound(judged_rows: DataFrame) -> DataFrame:
+    return judged_rows.where("_reason is null").drop("_reason")
+
+
+def refused(judged_rows: DataFrame, table: str, id_column: str) -> DataFrame:
+    return rejections(judged_rows.where("_reason is not null"), table, id_column, F.col("_reason"))
 
 
 # --- references ---------------------------------------------------------------------------------
@@ -182,45 +177,100 @@ def stream_candidates(raw_streams: DataFrame, listeners: DataFrame, tracks: Data
     return having_key(having_key(streams, tracks, "track_id"), listeners, "listener_id")
 
 
-def build(bronze: Bronze, rejected_at: str, stage=lambda name, df: df) -> Silver:
-    """Derive the silver tables.
+Stage = Callable[[str, DataFrame], DataFrame]
+
+
+def unstaged(name: str, df: DataFrame) -> DataFrame:
+    """Leave a table lazy."""
+    return df
+
+
+class Silver:
+    """The silver tables, each derived on first use.
 
-    ``stage(name, df)`` may write a table that several others start from and return it as read back;
-    without it everything stays lazy.
+    ``stage(name, df)`` may write a table that others start from and return it as read back.
     """
-    listeners, refused_listeners = enforce(
-        clean_listeners(_without_copies(bronze.listeners, "listeners")), "listeners", ["listener_id", "email"]
-    )
-    listeners = stage("listeners", listeners)
-    artists, refused_artists = enforce(
-        clean_artists(_without_copies(bronze.artists, "artists")), "artists", ["artist_id"]
-    )
-    artists = stage("artists", artists)
-    tracks, refused_tracks = enforce(
-        having_key(clean_tracks(_without_copies(bronze.tracks, "tracks")), artists, "artist_id"),
-        "tracks", ["track_id"],
-    )
-    tracks = stage("tracks", tracks)
-    candidates = stage("stream_candidates", stream_candidates(bronze.streams, listeners, tracks))
-    streams, refused_streams = enforce(candidates, "streams", ["stream_id"])
-    streams = stage("streams", streams)
-
-    refused = reduce(DataFrame.unionByName, [
-        tracks_without_artist(bronze.tracks, artists),
-        streams_without_track(bronze.streams, tracks),
-        streams_without_listener(bronze.streams, listeners, tracks),
-        refused_listeners, refused_artists, refused_tracks, refused_streams,
-    ])
-    rejected = refused.select(
-        (F.monotonically_increasing_id() + 1).alias("id"),
-        "*",
-        F.lit(rejected_at).cast("timestamp").alias("rejected_at"),
-    )
-    return Silver(listeners, artists, tracks, streams, stage("rejected_records", rejected))
+
+    def __init__(self, bronze: Bronze, rejected_at: str, stage: Stage = unstaged):
+        self._bronze = bronze
+        self._rejected_at = rejected_at
+        self._stage = stage
+
+    @cached_property
+    def _judged_listeners(self) -> DataFrame:
+        candidates = clean_listeners(_without_copies(self._bronze.listeners, "listeners"))
+        return judged(candidates, "listeners", ["listener_id", "email"])
+
+    @cached_property
+    def listeners(self) -> DataFrame:
+        return self._stage("listeners", sound(self._judged_listeners))
+
+    @cached_property
+    def _judged_artists(self) -> DataFrame:
+        return judged(clean_artists(_without_copies(self._bronze.artists, "artists")), "artists", ["artist_id"])
+
+    @cached_property
+    def artists(self) -> DataFrame:
+        return self._stage("artists", sound(self._judged_artists))
+
+    @cached_property
+    def _judged_tracks(self) -> DataFrame:
+        candidates = clean_tracks(_without_copies(self._bronze.tracks, "tracks"))
+        return judged(having_key(candidates, self.artists, "artist_id"), "tracks", ["track_id"])
+
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return self._stage("tracks", sound(self._judged_tracks))
+
+    @cached_property
+    def _judged_streams(self) -> DataFrame:
+        candidates = stream_candidates(self._bronze.streams, self.listeners, self.tracks)
+        return judged(self._stage("stream_candidates", candidates), "streams", ["stream_id"])
+
+    @cached_property
+    def streams(self) -> DataFrame:
+        return self._stage("streams", sound(self._judged_streams))
+
+    @cached_property
+    def rejected_records(self) -> DataFrame:
+        logged = reduce(DataFrame.unionByName, [
+            tracks_without_artist(self._bronze.tracks, self.artists),
+            streams_without_track(self._bronze.streams, self.tracks),
+            streams_without_listener(self._bronze.streams, self.listeners, self.tracks),
+            refused(self._judged_listeners, "listeners", "listener_id"),
+            refused(self._judged_artists, "artists", "artist_id"),
+            refused(self._judged_tracks, "tracks", "track_id"),
+            refused(self._judged_streams, "streams", "stream_id"),
+        ])
+        numbered = logged.select(
+            (F.monotonically_increasing_id() + 1).alias("id"),
+            "*",
+            F.lit(self._rejected_at).cast("timestamp").alias("rejected_at"),
+        )
+        return self._stage("rejected_records", numbered)
+
+    def starting_from(self, **tables: DataFrame) -> Silver:
+        """Take tables that exist already instead of deriving them."""
+        vars(self).update(tables)
+        return self
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in schemas.SILVER}
+
+
+class GivenSilver(Silver):
+    """Silver tables that exist already."""
+
+    def __init__(self, **tables: DataFrame):
+        vars(self).update(tables)
+
+
+def read(store: LayerStore) -> Silver:
+    return GivenSilver(**{name: store.read(LAYER, name, ddl) for name, ddl in schemas.SILVER.items()})
 
 
 def write(store: LayerStore, bronze: Bronze, rejected_at: str) -> Silver:
-    """Build the layer, writing each table before the next ones read it."""
+    """Derive the layer, writing each table before the next ones read it."""
     # The candidates have the streams' columns; they are a work table, outside the layer.
     ddl = {**schemas.SILVER, "stream_candidates": schemas.SILVER["streams"]}
 
@@ -228,8 +278,5 @@ def write(store: LayerStore, bronze: Bronze, rejected_at: str) -> Silver:
         layer = LAYER if name in schemas.SILVER else f"{LAYER}_work"
         return store.replace(layer, name, schemas.conform(df, ddl[name]), ddl[name])
 
-    return build(bronze, rejected_at, stage)
-
-
-def read(store: LayerStore) -> Silver:
-    return Silver(**{name: store.read(LAYER, name, ddl) for name, ddl in schemas.SILVER.items()})
+    silver = Silver(bronze, rejected_at, stage)
+    return GivenSilver(**silver.tables())

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Declared fields of the raw files, in file order (fixed values).
 RAW_FIELDS = {
@@ -88,11 +87,16 @@ GOLD = {
     ),
 }
 
+LISTENER_TRACKS = (
+    "listener_key bigint, track_key bigint, artist_key bigint, genre string, streams bigint, played_ms bigint, "
+    "points bigint, full_plays bigint, shuffled bigint, offline bigint, first_heard timestamp"
+)
 
-def struct_of(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def names_of(ddl: str) -> list[str]:
+    return [field.split()[0] for field in ddl.split(", ")]
 
 
 def conform(df: DataFrame, ddl: str) -> DataFrame:
     """Project ``df`` onto a declared schema: its columns, their order and their types."""
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in struct_of(ddl).fields))
+    return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in (f.split() for f in ddl.split(", "))))

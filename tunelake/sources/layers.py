@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake import schemas
-
 
 class LayerStore:
     """Writes and reads the tables of each layer. A written table is also the barrier between layers:
@@ -27,7 +25,7 @@ class LayerStore:
         writer.parquet(self.path(layer, table))
 
     def read(self, layer: str, table: str, ddl: str) -> DataFrame:
-        return self.spark.read.schema(schemas.struct_of(ddl)).parquet(self.path(layer, table))
+        return self.spark.read.schema(ddl).parquet(self.path(layer, table))
 
     def replace(self, layer: str, table: str, df: DataFrame, ddl: str, folder_by: str | None = None) -> DataFrame:
         """Write the table and return it as read back."""

@@ -4,22 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake import schemas
-from tunelake.functions.row_hash import json_text, row_hash
+from tunelake.functions.row_hash import json_text, record_text, row_hash
 
 
 def _audited(
-    df: DataFrame, texts: Mapping[str, Column], json_texts: Mapping[str, Column], source_file: Column, loaded_at: str,
+    df: DataFrame, texts: Mapping[str, str], json_texts: Mapping[str, str], source_file: str, loaded_at: str,
 ) -> DataFrame:
     """Project the declared fields as text and add where, when and what was loaded."""
-    return df.select(
-        *(text.alias(name) for name, text in texts.items()),
-        source_file.alias("_source_file"),
-        F.lit(loaded_at).alias("_loaded_at"),
-        row_hash(json_texts).alias("_row_hash"),
+    projected = df.selectExpr(
+        *(f"{text} AS {name}" for name, text in texts.items()),
+        f"{source_file} AS _source_file",
+        f"{record_text(json_texts)} AS _record",
+    )
+    return projected.select(
+        *texts, "_source_file", F.lit(loaded_at).alias("_loaded_at"), F.expr(row_hash("_record")).alias("_row_hash")
     )
 
 
@@ -36,15 +38,15 @@ def read_json(
     schema = ", ".join(f"{field} variant" for field in fields)
     records = spark.read.schema(schema).option("multiLine", not json_lines).json(path)
 
-    def as_text(field: str) -> Column:
-        text = F.try_variant_get(field, "$", "string")
-        return F.when(F.schema_of_variant(field) == "BOOLEAN", F.initcap(text)).otherwise(text)
+    def as_text(field: str) -> str:
+        text = f"try_variant_get({field}, '$', 'string')"
+        return f"CASE WHEN schema_of_variant({field}) = 'BOOLEAN' THEN initcap({text}) ELSE {text} END"
 
     return _audited(
         records,
         {field: as_text(field) for field in fields},
-        {field: F.to_json(field) for field in fields},
-        F.col("_metadata.file_name"),
+        {field: f"to_json({field})" for field in fields},
+        "_metadata.file_name",
         loaded_at,
     )
 
@@ -60,16 +62,12 @@ def read_csv(spark: SparkSession, path: str, entity: str, loaded_at: str, multi_
     header = spark.read.options(**options).csv(path).columns
     schema = ", ".join(f"`{column}` string" for column in header)
     rows = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
-
-    def cell(field: str) -> Column:
-        return F.col(f"`{field}`") if field in header else F.lit(None).cast("string")
-
     fields = schemas.RAW_FIELDS[entity]
     return _audited(
         rows,
-        {field: F.when(cell(field) != "", cell(field)) for field in fields},
-        {field: json_text(F.coalesce(cell(field), F.lit(""))) for field in fields if field in header},
-        F.col("_metadata.file_name"),
+        {field: f"nullif({field}, '')" if field in header else "CAST(NULL AS STRING)" for field in fields},
+        {field: json_text(f"coalesce({field}, '')") for field in fields if field in header},
+        "_metadata.file_name",
         loaded_at,
     )
 
@@ -78,9 +76,6 @@ def from_frame(df: DataFrame, entity: str, source_file: str, loaded_at: str) ->
     """Stage a frame of text columns as if it had been read from a file of JSON strings."""
     fields = schemas.RAW_FIELDS[entity]
     return _audited(
-        df,
-        {field: F.col(field) for field in fields},
-        {field: json_text(F.col(field)) for field in fields},
-        F.lit(source_file),
+        df, {field: field for field in fields}, {field: json_text(field) for field in fields}, f"'{source_file}'",
         loaded_at,
     )

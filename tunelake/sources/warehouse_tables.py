@@ -1,4 +1,4 @@
-"""Raw listening records derived from order-warehouse tables (region, nation, customer, part, events, …).
+"""Raw listening records derived from order-warehouse tables (nation, customer, part, events, …).
 
 The tables are clean, so the defects that the silver layer must handle are put in by rules on the
 keys: padding, casing, missing tokens, two date formats, orphans, copies and conflicting keys.
@@ -6,138 +6,125 @@ keys: padding, casing, missing tokens, two date formats, orphans, copies and con
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.plans.bronze import Bronze
+from tunelake.plans.bronze import RAW_FILES, Bronze
 from tunelake.sources.raw_files import from_frame
 
+# Columns read from each table.
+COLUMNS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp"
+    ),
+}
 # Event types stand for devices (fixed values).
-DEVICE_OF_EVENT = [
-    ("view", "mobile"), ("click", "desktop"), ("signup", "tablet"), ("error", "smart_speaker"), ("purchase", "web"),
-]
-PREMIUM_SEGMENTS = ["BUILDING", "HOUSEHOLD"]
+DEVICE_OF_EVENT = {
+    "view": "mobile", "click": "desktop", "signup": "tablet", "error": "smart_speaker", "purchase": "web",
+}
 LOADED_AT = "2024-02-01T00:00:00+00:00"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _every(key: Column, step: int, offset: int = 0) -> Column:
-    return F.pmod(key, F.lit(step)) == offset
-
-
-def _padded(when: Column, value: Column) -> Column:
-    return F.when(when, F.concat(F.lit("  "), value, F.lit(" "))).otherwise(value)
-
-
-def _text(value: Column) -> Column:
-    return value.cast("string")
+def _padded(condition: str, value: str) -> str:
+    return f"if({condition}, concat('  ', {value}, ' '), {value})"
 
 
 def raw_listeners(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as listeners."""
-    key = F.col("c_custkey")
     customers = table(spark, folder, "customer").join(
         table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    born = F.date_add(F.lit("1955-01-01").cast("date"), F.pmod(key * 13, F.lit(20000)).cast("int"))
-    joined = F.lit("2018-01-01").cast("timestamp") + F.make_dt_interval(
-        F.pmod(key * 17, F.lit(2000)).cast("int"), F.lit(0), F.lit(0), F.pmod(key, F.lit(86400)).cast("decimal(18,6)")
+    born = "date_add(DATE '1955-01-01', CAST(c_custkey * 13 % 20000 AS INT))"
+    joined = (
+        "date_format(timestamp_seconds(unix_timestamp(TIMESTAMP '2018-01-01 00:00:00') "
+        "+ c_custkey * 17 % 2000 * 86400 + c_custkey % 86400), \"yyyy-MM-dd'T'HH:mm:ss\")"
     )
-    paid = F.when(F.col("c_mktsegment").isin(PREMIUM_SEGMENTS), F.lit(" Premium ")).otherwise(F.lit("free"))
-    return customers.select(
-        F.concat(F.lit("usr_"), _text(key)).alias("listener_id"),
-        F.concat(F.lit("User"), _text(key), F.lit("@Example.com")).alias("email"),
-        _padded(_every(key, 50), F.concat(F.lit("user"), _text(key))).alias("username"),
-        _padded(_every(key, 50), F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-        F.when(_every(key, 40, 7), "None").when(_every(key, 97, 5), "unknown").otherwise(_text(born)).alias("birth_date"),
-        F.when(_every(key, 7), F.lit(None)).when(_every(key, 11), "   ").when(_every(key, 13), "None")
-        .otherwise(F.concat(F.lit(" City "), "n_name")).alias("city"),
-        F.col("n_name").alias("country"),
-        F.when(_every(key, 101, 50), "trial").otherwise(paid).alias("subscription_type"),
-        F.date_format(joined, "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
+    return customers.selectExpr(
+        "concat('usr_', c_custkey) AS listener_id",
+        "concat('User', c_custkey, '@Example.com') AS email",
+        _padded("c_custkey % 50 = 0", "concat('user', c_custkey)") + " AS username",
+        _padded("c_custkey % 50 = 0", "split_part(c_name, '#', 1)") + " AS first_name",
+        "split_part(c_name, '#', 2) AS last_name",
+        f"CASE WHEN c_custkey % 40 = 7 THEN 'None' WHEN c_custkey % 97 = 5 THEN 'unknown' "
+        f"ELSE CAST({born} AS STRING) END AS birth_date",
+        "CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 11 = 0 THEN '   ' WHEN c_custkey % 13 = 0 THEN 'None' "
+        "ELSE concat(' City ', n_name) END AS city",
+        "n_name AS country",
+        "CASE WHEN c_custkey % 101 = 50 THEN 'trial' WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN ' Premium ' "
+        "ELSE 'free' END AS subscription_type",
+        f"{joined} AS created_at",
     )
 
 
-def _brand_number() -> Column:
-    return F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("int")
-
-
-def _artist_id(number: Column) -> Column:
-    return F.concat(F.lit("art_"), F.lpad(_text(number), 3, "0"))
-
-
 def raw_artists(spark: SparkSession, folder: str) -> DataFrame:
     """Brands as artists; the genre is the type of the brand's first part."""
-    brands = table(spark, folder, "part").groupBy("p_brand").agg(F.min_by("p_type", "p_partkey").alias("genre"))
-    number = F.col("number")
-    cased = F.when(_every(number, 5), F.lower("genre")).when(_every(number, 5, 1), F.concat(F.lit(" "), "genre"))
-    return brands.withColumn("number", _brand_number()).select(
-        _artist_id(number).alias("artist_id"),
-        _padded(_every(number, 10), F.col("p_brand")).alias("name"),
-        cased.otherwise(F.col("genre")).alias("genre"),
-        F.concat(F.lit("NATION_"), _text(number)).alias("country"),
-        F.when(_every(number, 7), "None").otherwise(_text(F.lit(1950) + number * 2)).alias("formed_year"),
-        _text(number * number * number * number * 3).alias("monthly_listeners"),
+    brands = table(spark, folder, "part").groupBy("p_brand").agg(F.min_by("p_type", "p_partkey").alias("kind"))
+    return brands.selectExpr("p_brand", "kind", "CAST(split_part(p_brand, '#', 2) AS INT) AS number").selectExpr(
+        "concat('art_', lpad(number, 3, '0')) AS artist_id",
+        _padded("number % 10 = 0", "p_brand") + " AS name",
+        "CASE number % 5 WHEN 0 THEN lower(kind) WHEN 1 THEN concat(' ', kind) ELSE kind END AS genre",
+        "concat('NATION_', number) AS country",
+        "if(number % 7 = 0, 'None', CAST(1950 + number * 2 AS STRING)) AS formed_year",
+        "CAST(number * number * number * number * 3 AS STRING) AS monthly_listeners",
     )
 
 
 def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as tracks."""
-    key = F.col("p_partkey")
-    released = F.date_add(F.lit("1990-01-01").cast("date"), F.pmod(key * 7, F.lit(12000)).cast("int"))
-    artist = F.when(_every(key, 90, 89), F.lit("art_999")).otherwise(_artist_id(_brand_number()))
-    return table(spark, folder, "part").select(
-        F.concat(F.lit("trk_"), _text(key)).alias("track_id"),
-        _padded(_every(key, 50), F.col("p_name")).alias("title"),
-        _padded(_every(key, 30, 3), artist).alias("artist_id"),
-        F.when(_every(key, 5), F.lit(None)).when(_every(key, 17, 4), "None").when(_every(key, 19, 5), "")
-        .otherwise(F.concat("p_name", F.lit(" LP"))).alias("album"),
-        _text(F.col("p_size") * 10000).alias("duration_ms"),
-        _padded(_every(key, 50, 2), F.when(_every(key, 10), F.lower("p_type")).otherwise(F.col("p_type"))).alias("genre"),
-        F.when(_every(key, 333, 40), "not-a-date")
-        .when(_every(key, 50, 1), F.date_format(released, "MM/dd/yyyy"))
-        .otherwise(_text(released)).alias("release_date"),
-        F.when(_every(key, 3), "True").when(_every(key, 3, 1), "1").otherwise("False").alias("explicit"),
+    released = "date_add(DATE '1990-01-01', CAST(p_partkey * 7 % 12000 AS INT))"
+    artist = "if(p_partkey % 90 = 89, 'art_999', concat('art_', lpad(split_part(p_brand, '#', 2), 3, '0')))"
+    return table(spark, folder, "part").selectExpr(
+        "concat('trk_', p_partkey) AS track_id",
+        _padded("p_partkey % 50 = 0", "p_name") + " AS title",
+        _padded("p_partkey % 30 = 3", artist) + " AS artist_id",
+        "CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 17 = 4 THEN 'None' WHEN p_partkey % 19 = 5 THEN '' "
+        "ELSE concat(p_name, ' LP') END AS album",
+        "CAST(p_size * 10000 AS STRING) AS duration_ms",
+        _padded("p_partkey % 50 = 2", "if(p_partkey % 10 = 0, lower(p_type), p_type)") + " AS genre",
+        f"CASE WHEN p_partkey % 333 = 40 THEN 'not-a-date' "
+        f"WHEN p_partkey % 50 = 1 THEN date_format({released}, 'MM/dd/yyyy') "
+        f"ELSE CAST({released} AS STRING) END AS release_date",
+        "CASE p_partkey % 3 WHEN 0 THEN 'True' WHEN 1 THEN '1' ELSE 'False' END AS explicit",
     )
 
 
 def raw_streams(spark: SparkSession, folder: str) -> DataFrame:
     """Events as streams, some of them loaded twice."""
-    key = F.col("event_id")
-    device = F.coalesce(*(F.when(F.col("event_type") == event, kind) for event, kind in DEVICE_OF_EVENT))
-    track = F.get_json_object("props", "$.k").cast("bigint")
-    track = F.when(_every(key, 200), track + 1_000_000).otherwise(track)
-    listener = F.concat(F.lit("usr_"), _text(F.col("user_id")))
-    played = F.round(F.col("value") * 1000).cast("bigint")
-    streams = table(spark, folder, "events").select(
-        F.concat(F.lit("str_"), _text(key)).alias("stream_id"),
-        F.when(_every(key, 250, 17), "usr_unknown").otherwise(_padded(_every(key, 50), listener)).alias("listener_id"),
-        F.concat(F.lit("trk_"), _text(track)).alias("track_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("streamed_at"),
-        _text(F.when(_every(key, 700, 11), F.lit(-5)).when(_every(key, 700, 12), F.lit(4_000_000)).otherwise(played))
-        .alias("duration_played_ms"),
-        F.when(_every(key, 500, 123), "console").otherwise(_padded(_every(key, 50, 3), device)).alias("device_type"),
-        F.when(_every(key, 3), "True").otherwise("False").alias("shuffle_mode"),
-        F.when(_every(key, 10), "1").otherwise("False").alias("offline_mode"),
-        key.alias("_event"),
+    device = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{d}'" for e, d in DEVICE_OF_EVENT.items()) + " END"
+    streams = table(spark, folder, "events").selectExpr(
+        "concat('str_', event_id) AS stream_id",
+        "if(event_id % 250 = 17, 'usr_unknown', " + _padded("event_id % 50 = 0", "concat('usr_', user_id)")
+        + ") AS listener_id",
+        "concat('trk_', CAST(get_json_object(props, '$.k') AS BIGINT) + if(event_id % 200 = 0, 1000000, 0)) AS track_id",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS streamed_at",
+        "CASE event_id % 700 WHEN 11 THEN '-5' WHEN 12 THEN '4000000' "
+        "ELSE CAST(CAST(round(value * 1000) AS BIGINT) AS STRING) END AS duration_played_ms",
+        f"if(event_id % 500 = 123, 'console', {_padded('event_id % 50 = 3', device)}) AS device_type",
+        "if(event_id % 3 = 0, 'True', 'False') AS shuffle_mode",
+        "if(event_id % 10 = 0, '1', 'False') AS offline_mode",
+        # Once as it is, and again for copies and for rows that contradict their own id.
+        "explode(concat(array(0), if(event_id % 100 = 0, array(1), array()), if(event_id % 997 = 5, array(2), array()))) "
+        "AS _load",
     )
-    copies = streams.where(_every(F.col("_event"), 100))
-    conflicts = streams.where(_every(F.col("_event"), 997, 5)).withColumn("duration_played_ms", F.lit("1"))
-    return streams.unionByName(copies).unionByName(conflicts).drop("_event")
+    return streams.withColumn(
+        "duration_played_ms", F.expr("if(_load = 2, '1', duration_played_ms)")
+    ).drop("_load")
 
 
 def bronze(spark: SparkSession, folder: str) -> Bronze:
     """The four raw inputs staged as bronze."""
-    return Bronze(
-        listeners=from_frame(raw_listeners(spark, folder), "listeners", "listeners.json", LOADED_AT),
-        artists=from_frame(raw_artists(spark, folder), "artists", "artists.json", LOADED_AT),
-        tracks=from_frame(raw_tracks(spark, folder), "tracks", "tracks.json", LOADED_AT),
-        streams=from_frame(raw_streams(spark, folder), "streams", "streams.csv", LOADED_AT),
-    )
+    raw = {"listeners": raw_listeners, "artists": raw_artists, "tracks": raw_tracks, "streams": raw_streams}
+    return Bronze(lambda entity: from_frame(raw[entity](spark, folder), entity, RAW_FILES[entity], LOADED_AT))
 
 
 def order_line_streams(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,18 +133,16 @@ def order_line_streams(spark: SparkSession, folder: str) -> DataFrame:
     Lines have no key of their own, so ``stream_id`` is not unique here.
     """
     lines = table(spark, folder, "lineitem").join(
-        table(spark, folder, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
+        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    order = F.col("l_orderkey")
-    moment = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.pmod(order, F.lit(24)).cast("int"))
-    devices = F.array(*(F.lit(kind) for _, kind in DEVICE_OF_EVENT))
-    return lines.select(
-        F.concat(_text(order), F.lit("-"), _text(F.col("l_linenumber"))).alias("stream_id"),
-        F.concat(F.lit("usr_"), _text(F.col("o_custkey"))).alias("listener_id"),
-        F.concat(F.lit("trk_"), _text(F.col("l_partkey"))).alias("track_id"),
-        moment.alias("streamed_at"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("duration_played_ms"),
-        F.element_at(devices, (F.pmod(order, F.lit(5)) + 1).cast("int")).alias("device_type"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("shuffle_mode"),
-        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("offline_mode"),
+    devices = ", ".join(f"'{device}'" for device in DEVICE_OF_EVENT.values())
+    return lines.selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) AS stream_id",
+        "concat('usr_', o_custkey) AS listener_id",
+        "concat('trk_', l_partkey) AS track_id",
+        "l_shipdate + make_dt_interval(0, CAST(l_orderkey % 24 AS INT)) AS streamed_at",
+        "CAST(round(l_extendedprice * 100) AS BIGINT) AS duration_played_ms",
+        f"element_at(array({devices}), CAST(l_orderkey % 5 + 1 AS INT)) AS device_type",
+        "if(l_returnflag = 'R', 1, 0) AS shuffle_mode",
+        "if(l_linestatus = 'O', 1, 0) AS offline_mode",
     )
