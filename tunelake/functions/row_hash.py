@@ -12,8 +12,8 @@ from collections.abc import Mapping
 
 def json_text(value: str) -> str:
     """A text value as a JSON string, or ``null``."""
-    in_array = f"to_json(array({value}))"
-    return f"substring({in_array}, 2, length({in_array}) - 2)"
+    # Written as the only element of an array, whose brackets are then taken off; text ends in a quote.
+    return f"substring(trim(TRAILING ']' FROM to_json(array({value}))), 2)"
 
 
 def record_text(fields: Mapping[str, str]) -> str:

@@ -54,10 +54,9 @@ def load(spark: SparkSession, raw_dir: str, loaded_at: str, json_lines: bool = F
     return Bronze(obtain)
 
 
-def write(store: LayerStore, bronze: Bronze) -> Bronze:
-    for name, df in bronze.tables().items():
-        store.write(LAYER, name, df)
-    return read(store)
+def writing(store: LayerStore, bronze: Bronze) -> Bronze:
+    """The same records, each table written on first use."""
+    return Bronze(lambda name: store.replace(LAYER, name, getattr(bronze, name), schemas.BRONZE[name]))
 
 
 def read(store: LayerStore) -> Bronze:

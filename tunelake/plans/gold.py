@@ -39,7 +39,7 @@ def dim_date(spark: SparkSession, calendar: Calendar) -> DataFrame:
     first, last = (F.lit(day).cast("date") for day in (calendar.first_day, calendar.last_day))
     day = F.col("full_date")
     return (
-        spark.range(1)
+        spark.range(0, 1, 1, 1)
         .select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("full_date"))
         .select(
             dates.date_key(day).alias("date_key"),
@@ -59,8 +59,12 @@ def dim_date(spark: SparkSession, calendar: Calendar) -> DataFrame:
 
 
 def dim_device(spark: SparkSession) -> DataFrame:
-    rows = [(key, kind, category) for key, (kind, category) in enumerate(classify.DEVICE_CATEGORIES, start=1)]
-    return spark.createDataFrame(rows, schemas.GOLD["dim_device"])
+    rows = ", ".join(
+        f"struct({key} AS device_key, '{kind}' AS device_type, '{category}' AS device_category)"
+        for key, (kind, category) in enumerate(classify.DEVICE_CATEGORIES, start=1)
+    )
+    devices = spark.range(0, 1, 1, 1).selectExpr(f"inline(array({rows}))")
+    return schemas.conform(devices, schemas.GOLD["dim_device"])
 
 
 def dim_artist(artists: DataFrame, calendar: Calendar) -> DataFrame:
@@ -311,8 +315,8 @@ BY_MONTH = ["fact_streams", "agg_daily_listener_streams", "agg_daily_track_strea
 MONTH_FOLDER = "date_month"
 
 
-def write(store: LayerStore, silver: Silver, calendar: Calendar) -> Gold:
-    """Derive the layer, writing each table before the next ones read it."""
+def writing(store: LayerStore, silver: Silver, calendar: Calendar) -> Gold:
+    """The layer, each table written on first use, before the next ones read it."""
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         if name == "listener_tracks":
@@ -328,8 +332,7 @@ def write(store: LayerStore, silver: Silver, calendar: Calendar) -> Gold:
         ddl = f"{ddl}, {MONTH_FOLDER} int"
         return store.replace(LAYER, name, schemas.conform(monthly, ddl), ddl, MONTH_FOLDER)
 
-    gold = Gold(store.spark, silver, calendar, stage)
-    return GivenGold(**gold.tables(), listener_tracks=gold.listener_tracks)
+    return Gold(store.spark, silver, calendar, stage)
 
 
 def read(store: LayerStore) -> Gold:

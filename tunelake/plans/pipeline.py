@@ -14,11 +14,19 @@ from tunelake.plans.silver import Silver
 from tunelake.sources.layers import LayerStore
 
 
+def layers(store: LayerStore, raw: Bronze, run_at: str, calendar: Calendar) -> tuple[Bronze, Silver, Gold]:
+    """Bronze, silver and gold; a table is written when it, or one that builds on it, is first used."""
+    bronze = bronze_plan.writing(store, raw)
+    silver = silver_plan.writing(store, bronze, run_at)
+    return bronze, silver, gold_plan.writing(store, silver, calendar)
+
+
 def write_layers(store: LayerStore, raw: Bronze, run_at: str, calendar: Calendar) -> tuple[Bronze, Silver, Gold]:
-    """Write bronze, silver and gold, each from the files of the one before."""
-    bronze = bronze_plan.write(store, raw)
-    silver = silver_plan.write(store, bronze, run_at)
-    return bronze, silver, gold_plan.write(store, silver, calendar)
+    """The same, with every table written at once."""
+    written = layers(store, raw, run_at, calendar)
+    for layer in written:
+        layer.tables()
+    return written
 
 
 def run(

@@ -269,8 +269,8 @@ def read(store: LayerStore) -> Silver:
     return GivenSilver(**{name: store.read(LAYER, name, ddl) for name, ddl in schemas.SILVER.items()})
 
 
-def write(store: LayerStore, bronze: Bronze, rejected_at: str) -> Silver:
-    """Derive the layer, writing each table before the next ones read it."""
+def writing(store: LayerStore, bronze: Bronze, rejected_at: str) -> Silver:
+    """The layer, each table written on first use, before the next ones read it."""
     # The candidates have the streams' columns; they are a work table, outside the layer.
     ddl = {**schemas.SILVER, "stream_candidates": schemas.SILVER["streams"]}
 
@@ -278,5 +278,4 @@ def write(store: LayerStore, bronze: Bronze, rejected_at: str) -> Silver:
         layer = LAYER if name in schemas.SILVER else f"{LAYER}_work"
         return store.replace(layer, name, schemas.conform(df, ddl[name]), ddl[name])
 
-    silver = Silver(bronze, rejected_at, stage)
-    return GivenSilver(**silver.tables())
+    return Silver(bronze, rejected_at, stage)
