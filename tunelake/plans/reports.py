@@ -48,6 +48,7 @@ SECTION_ORDER = [
     "summary", "top_artists", "top_tracks", "top_genre", "listening_personality", "monthly_trends",
     "peak_listening_times", "weekday_vs_weekend",
 ]
+SHOWN_VIEWS = [part[0] for part in [*OBJECT_SECTIONS.values(), *LIST_SECTIONS.values()]]
 SUMMARY_COLUMNS = [
     "listener_id", "listener_name", "subscription_type", "country", "total_streams", "total_hours", "unique_artists",
     "unique_tracks", "unique_genres", "full_play_rate", "listening_percentile", "listening_personality", "top_genre",
@@ -118,7 +119,8 @@ def reports(
     def rows(name: str) -> DataFrame:
         view, *_, columns = OBJECT_SECTIONS.get(name) or LIST_SECTIONS[name]
         if views is not None and view in views:
-            return views[view].select("listener_id", *columns)
+            shown = views[view] if wanted is None else views[view].join(wanted, "listener_id", "left_semi")
+            return shown.select("listener_id", *columns)
         return section(gold, name, wanted)
 
     sections = [
@@ -157,12 +159,15 @@ def export_reports(report_rows: DataFrame, path: str) -> int:
     return report_rows.sparkSession.read.text(path).count()
 
 
-def summary_extract(gold: Gold) -> DataFrame:
-    """Summary, personality and top genre side by side, a line per listener."""
-    personality = serving.listening_personality(gold).select("listener_id", "listening_personality")
-    genre = serving.top_genre_by_listener(gold).select("listener_id", "top_genre")
+def summary_extract(gold: Gold, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Summary, personality and top genre side by side, a line per listener; ``views`` as for the reports."""
+    def rows(view: str) -> DataFrame:
+        return views[view] if views is not None and view in views else serving.VIEWS[view](gold)
+
+    personality = rows("v_listening_personality").select("listener_id", "listening_personality")
+    genre = rows("v_top_genre_by_listener").select("listener_id", "top_genre")
     return (
-        serving.year_in_review_summary(gold)
+        rows("v_year_in_review_summary")
         .join(personality, "listener_id", "left")
         .join(genre, "listener_id", "left")
         .select(*SUMMARY_COLUMNS)

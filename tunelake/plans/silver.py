@@ -19,6 +19,8 @@ from tunelake.plans.bronze import Bronze
 from tunelake.sources.layers import LayerStore
 
 LAYER = "silver"
+# Stream candidates have the streams' columns; they are a work table, outside the layer.
+DDL = {**schemas.SILVER, "stream_candidates": schemas.SILVER["streams"]}
 # Allowed subscription types (fixed values).
 SUBSCRIPTIONS = ["free", "premium"]
 
@@ -196,6 +198,9 @@ class Silver:
         self._rejected_at = rejected_at
         self._stage = stage
 
+    def _staged(self, name: str, df: DataFrame) -> DataFrame:
+        return self._stage(name, schemas.conform(df, DDL[name]))
+
     @cached_property
     def _judged_listeners(self) -> DataFrame:
         candidates = clean_listeners(_without_copies(self._bronze.listeners, "listeners"))
@@ -203,7 +208,7 @@ class Silver:
 
     @cached_property
     def listeners(self) -> DataFrame:
-        return self._stage("listeners", sound(self._judged_listeners))
+        return self._staged("listeners", sound(self._judged_listeners))
 
     @cached_property
     def _judged_artists(self) -> DataFrame:
@@ -211,7 +216,7 @@ class Silver:
 
     @cached_property
     def artists(self) -> DataFrame:
-        return self._stage("artists", sound(self._judged_artists))
+        return self._staged("artists", sound(self._judged_artists))
 
     @cached_property
     def _judged_tracks(self) -> DataFrame:
@@ -220,16 +225,16 @@ class Silver:
 
     @cached_property
     def tracks(self) -> DataFrame:
-        return self._stage("tracks", sound(self._judged_tracks))
+        return self._staged("tracks", sound(self._judged_tracks))
 
     @cached_property
     def _judged_streams(self) -> DataFrame:
         candidates = stream_candidates(self._bronze.streams, self.listeners, self.tracks)
-        return judged(self._stage("stream_candidates", candidates), "streams", ["stream_id"])
+        return judged(self._staged("stream_candidates", candidates), "streams", ["stream_id"])
 
     @cached_property
     def streams(self) -> DataFrame:
-        return self._stage("streams", sound(self._judged_streams))
+        return self._staged("streams", sound(self._judged_streams))
 
     @cached_property
     def rejected_records(self) -> DataFrame:
@@ -247,7 +252,7 @@ class Silver:
             "*",
             F.lit(self._rejected_at).cast("timestamp").alias("rejected_at"),
         )
-        return self._stage("rejected_records", numbered)
+        return self._staged("rejected_records", numbered)
 
     def starting_from(self, **tables: DataFrame) -> Silver:
         """Take tables that exist already instead of deriving them."""
@@ -271,11 +276,8 @@ def read(store: LayerStore) -> Silver:
 
 def writing(store: LayerStore, bronze: Bronze, rejected_at: str) -> Silver:
     """The layer, each table written on first use, before the next ones read it."""
-    # The candidates have the streams' columns; they are a work table, outside the layer.
-    ddl = {**schemas.SILVER, "stream_candidates": schemas.SILVER["streams"]}
-
     def stage(name: str, df: DataFrame) -> DataFrame:
         layer = LAYER if name in schemas.SILVER else f"{LAYER}_work"
-        return store.replace(layer, name, schemas.conform(df, ddl[name]), ddl[name])
+        return store.replace(layer, name, df, DDL[name])
 
     return Silver(bronze, rejected_at, stage)

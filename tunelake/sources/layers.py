@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 class LayerStore:
@@ -24,10 +25,10 @@ class LayerStore:
             writer = writer.partitionBy(folder_by)
         writer.parquet(self.path(layer, table))
 
-    def read(self, layer: str, table: str, ddl: str) -> DataFrame:
+    def read(self, layer: str, table: str, ddl: str | StructType) -> DataFrame:
         return self.spark.read.schema(ddl).parquet(self.path(layer, table))
 
-    def replace(self, layer: str, table: str, df: DataFrame, ddl: str, folder_by: str | None = None) -> DataFrame:
+    def replace(self, layer: str, table: str, df: DataFrame, ddl: str | StructType, folder_by: str | None = None) -> DataFrame:
         """Write the table and return it as read back."""
         self.write(layer, table, df, folder_by)
         return self.read(layer, table, ddl)
