@@ -289,7 +289,8 @@ _on_layers(
 def _shared_line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines whose (order, line number) is carried by more than one row."""
     streams = warehouse_tables.order_line_streams(spark, sf_dir)
-    return dedup.with_shared_keys(streams, streams, ["stream_id"]).where("_shared_stream_id").drop("_shared_stream_id")
+    repeated = dedup.repeated_keys(streams, "stream_id")
+    return dedup.with_shared_keys(streams, {"stream_id": repeated}).where("_shared_stream_id").drop("_shared_stream_id")
 
 
 _register(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,17 +28,16 @@ def repeated_hashes(df: DataFrame, hash_column: str = "_row_hash") -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Key values carried by more than one row."""
+    """Key values carried by more than one row; counted before the shuffle, so a hot key costs nothing."""
     return df.groupBy(key).agg(F.count("*").alias("rows")).where("rows > 1").select(key)
 
 
-def with_shared_keys(df: DataFrame, among: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_shared_<key>``: true where another row of ``among`` carries the same key, else null.
+def with_shared_keys(df: DataFrame, repeated: Mapping[str, DataFrame]) -> DataFrame:
+    """Add ``_shared_<key>``: true where the row's key is among the ``repeated`` ones, else null.
 
-    The counts are combined before the shuffle. The joins are left to Spark, which broadcasts the
-    repeated keys when there are few and splits the partition of a hot key when there are many.
+    The joins are left to Spark, which broadcasts the repeated keys when there are few, so that the
+    rows stay where they are, and splits the partition of a hot key when there are many.
     """
-    for key in keys:
-        repeated = repeated_keys(among, key).select(key, F.lit(True).alias(f"_shared_{key}"))
-        df = df.join(repeated, key, "left")
+    for key, values in repeated.items():
+        df = df.join(values.select(key, F.lit(True).alias(f"_shared_{key}")), key, "left")
     return df

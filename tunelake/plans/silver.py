@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from tunelake import schemas
 from tunelake.functions import dates, text
-from tunelake.operators.dedup import drop_copies, with_shared_keys
+from tunelake.operators.dedup import drop_copies, repeated_keys, with_shared_keys
 from tunelake.operators.lookups import having_key, lacking_key
 from tunelake.plans.bronze import Bronze
 from tunelake.sources.layers import LayerStore
 
 LAYER = "silver"
-# Stream candidates have the streams' columns; they are a work table, outside the layer.
-DDL = {**schemas.SILVER, "stream_candidates": schemas.SILVER["streams"]}
+# With the work tables that are written on the way to the streams, outside the layer.
+DDL = {**schemas.SILVER, "stream_candidates": schemas.SILVER["streams"], "shared_stream_id": "stream_id string"}
 # Allowed subscription types (fixed values).
 SUBSCRIPTIONS = ["free", "premium"]
 
@@ -116,13 +116,23 @@ def rejections(df: DataFrame, table: str, id_column: str, reason: Column) -> Dat
     )
 
 
-def judged(candidates: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+Stage = Callable[[str, DataFrame], DataFrame]
+
+
+def unstaged(name: str, df: DataFrame) -> DataFrame:
+    """Leave a table lazy."""
+    return df
+
+
+def judged(candidates: DataFrame, table: str, keys: Sequence[str], stage: Stage = unstaged) -> DataFrame:
     """Add ``_reason``: why a row is refused, or null for a sound one.
 
-    The domain rules come first; rows that pass them must not share a key with one another.
+    The domain rules come first; rows that pass them must not share a key with one another. ``stage``
+    may write the repeated keys, so that Spark knows their size when it plans the join.
     """
     ruled = candidates.withColumn("_broken", broken_rule(table))
-    flagged = with_shared_keys(ruled, ruled.where("_broken is null"), keys)
+    passed = ruled.where("_broken is null")
+    flagged = with_shared_keys(ruled, {key: stage(f"shared_{key}", repeated_keys(passed, key)) for key in keys})
     shared = (F.when(F.col(f"_shared_{key}"), text.labelled(f"Duplicate {key}: ", F.col(key))) for key in keys)
     return flagged.select(*candidates.columns, F.coalesce("_broken", *shared).alias("_reason"))
 
@@ -179,14 +189,6 @@ def stream_candidates(raw_streams: DataFrame, listeners: DataFrame, tracks: Data
     return having_key(having_key(streams, tracks, "track_id"), listeners, "listener_id")
 
 
-Stage = Callable[[str, DataFrame], DataFrame]
-
-
-def unstaged(name: str, df: DataFrame) -> DataFrame:
-    """Leave a table lazy."""
-    return df
-
-
 class Silver:
     """The silver tables, each derived on first use.
 
@@ -230,7 +232,7 @@ class Silver:
     @cached_property
     def _judged_streams(self) -> DataFrame:
         candidates = stream_candidates(self._bronze.streams, self.listeners, self.tracks)
-        return judged(self._staged("stream_candidates", candidates), "streams", ["stream_id"])
+        return judged(self._staged("stream_candidates", candidates), "streams", ["stream_id"], self._staged)
 
     @cached_property
     def streams(self) -> DataFrame:
