@@ -241,6 +241,11 @@ for _entity, _clean in _CLEAN.items():
         f"clean_{_entity}", lambda b, e=_entity, clean=_clean: clean(getattr(b, e)).distinct(),
         f"SELECT {_shown(_columns(schemas.SILVER[_entity]))} FROM clean_{_entity}",
     )
+_on_bronze(
+    "clean_streams",
+    lambda b: silver_plan.clean_streams(dedup.drop_copies(b.streams, schemas.RAW_FIELDS["streams"])),
+    f"SELECT {_shown(_columns(schemas.SILVER['streams']))} FROM clean_streams",
+)
 for _entity in schemas.RAW_FIELDS:
     _on_silver(
         f"silver_{_entity}", lambda s, e=_entity: getattr(s, e),
