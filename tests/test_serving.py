@@ -2,11 +2,10 @@ import json
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import RUN_AT
 from tunelake.plans import pipeline, quality, reports, serving
-from tunelake.plans.gold import Calendar, GivenGold
+from tunelake.plans.gold import GivenGold
 
 
 @pytest.fixture(scope="module")
