@@ -603,9 +603,25 @@ def entry(spark: SparkSession) -> DataFrame:
     return _queries["v_top_artists_by_listener"](spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries of the training-data operators and their statements; none where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from tunelake.llm import queries as llm_queries
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tunelake.llm"):
+            raise
+        return {}, {}
+    added, statements = llm_queries.queries(), llm_queries.oracle_sql()
+    added["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return added, statements
+
+
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    return _queries | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_oracles)
+    return _oracles | _training_data()[1]
