@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import chat_format
+from tunelake.llm import chat_format, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,7 +58,15 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-_QUERIES: dict[str, Query] = {"op1_chat_formatting": op1_chat_formatting}
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights 5, 2, 1, no document beyond three times."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+_QUERIES: dict[str, Query] = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op2_mixing": op2_mixing,
+}
 _STATEMENTS = {"op1_chat_formatting": OP1_SQL}
 
 
