@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import chat_format, mixing
+from tunelake.llm import bag_minhash, chat_format, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,9 +63,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-copy class of every document: ``doc_id, class_id``."""
+    return bag_minhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_mixing": op2_mixing,
+    "op4_bag_minhash": op4_bag_minhash,
 }
 _STATEMENTS = {"op1_chat_formatting": OP1_SQL}
 
