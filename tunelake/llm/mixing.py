@@ -28,6 +28,8 @@ from tunelake.llm.common import written
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_RATE = 3.0
 MAX_SOURCES = 1_000_000
+#: Up to so many, the lines per source (about 100 bytes each) are broadcast; beyond that Spark shuffles.
+BROADCAST_SOURCES = 50_000
 #: Documents that are rounded together; a source has as many such groups as it needs.
 ROUNDED_TOGETHER = 4096
 NEWTON_STEPS = 50
@@ -55,8 +57,10 @@ def target_sizes(sizes: Sequence[int], weights: Sequence[float], total: float, m
     return targets
 
 
-def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: float = MAX_RATE) -> DataFrame:
-    """One row per source: ``source, docs, source_size, target``; weights repeat over the sources by code point."""
+def source_targets(
+    sized: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: float = MAX_RATE
+) -> list[tuple[str | None, int, int, float]]:
+    """Per source: name, different documents, words, target; weights repeat over the sources by code point."""
     totals = sized.groupBy("source").agg(
         F.count("*").alias("docs"), F.sum(F.col("size") * F.col("rows")).alias("source_size")
     )
@@ -66,14 +70,17 @@ def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, max_rat
     rows.sort(key=lambda row: (row.source is None, row.source or ""))
     sizes = [row.source_size for row in rows]
     targets = target_sizes(sizes, [weights[i % len(weights)] for i in range(len(rows))], sum(sizes), max_rate)
-    return sized.sparkSession.createDataFrame(
-        [(row.source, row.docs, row.source_size, target) for row, target in zip(rows, targets, strict=True)],
-        "source string, docs long, source_size long, target double",
-    )
+    return [(row.source, row.docs, row.source_size, target) for row, target in zip(rows, targets, strict=True)]
+
 
+def _few(rows: DataFrame, number: int) -> DataFrame:
+    return F.broadcast(rows) if number <= BROADCAST_SOURCES else rows
 
-def multipliers(sized: DataFrame, targets: DataFrame, max_rate: float = MAX_RATE, tolerance: float = 1e-10) -> DataFrame:
-    """The dual solution, ``source, lambda``, by Newton steps over the documents.
+
+def multipliers(
+    sized: DataFrame, targets: list[tuple], max_rate: float = MAX_RATE, tolerance: float = 1e-10
+) -> dict[str | None, float]:
+    """The dual solution, lambda by source, by Newton steps over the documents.
 
     The dual of a source is convex with gradient ``sum(size * rate) - target`` and curvature ``sum(size * rate)``
     over the documents below the highest rate. A source whose target is all it can give needs no finite
@@ -82,16 +89,18 @@ def multipliers(sized: DataFrame, targets: DataFrame, max_rate: float = MAX_RATE
     spark = sized.sparkSession
     # Equal (source, offset) enter every sum alike, so the steps run over their totals.
     cells = written(sized.groupBy("source", "offset").agg(F.sum(F.col("size") * F.col("rows")).alias("size")).where("size > 0"), "mix-cells")
-    wanted = {row.source: row.target for row in targets.collect()}
-    solved = {source: None if target <= 0 else 0.0 for source, target in wanted.items()}
-    full = {row.source: row.target >= max_rate * row.source_size for row in targets.collect()}
-    active = [s for s in solved if solved[s] is not None and not full[s]]
+    wanted = {source: target for source, _, _, target in targets}
+    solved = {
+        source: math.inf if target >= max_rate * size else 0.0 if target > 0 else -math.inf
+        for source, _, size, target in targets
+    }
+    active = [source for source, value in solved.items() if math.isfinite(value)]
     for _ in range(NEWTON_STEPS):
         if not active:
             break
         now = spark.createDataFrame([(s, solved[s]) for s in active], "source string, lambda double")
         rate = F.exp(F.col("lambda") + F.col("offset"))
-        sums = cells.join(now, cells.source.eqNullSafe(now.source)).groupBy(now.source).agg(
+        sums = cells.join(_few(now, len(active)), cells.source.eqNullSafe(now.source)).groupBy(now.source).agg(
             F.sum(F.col("size") * F.least(rate, F.lit(max_rate))).alias("taken"),
             F.sum(F.when(rate < max_rate, F.col("size") * rate).otherwise(0.0)).alias("curvature"),
         ).collect()
@@ -103,8 +112,7 @@ def multipliers(sized: DataFrame, targets: DataFrame, max_rate: float = MAX_RATE
             step = gap / row.curvature if row.curvature > 0 else math.copysign(1.0, gap)
             solved[row.source] += max(-2.0, min(2.0, step))
             active.append(row.source)
-    rows = [(s, math.inf if full[s] else -math.inf if v is None else v) for s, v in solved.items()]
-    return spark.createDataFrame(rows, "source string, lambda double")
+    return solved
 
 
 def _copies(group: pd.DataFrame) -> pd.DataFrame:
@@ -148,9 +156,11 @@ def _rounded(
     )
     targets = source_targets(sized, weights, max_rate)
     solved = multipliers(sized, targets, max_rate)
-    # One line per source; Spark broadcasts it by its known size, or shuffles it.
-    per_source = targets.join(solved, targets.source.eqNullSafe(solved.source)).select(targets["*"], "lambda")
-    rated = sized.join(per_source, sized.source.eqNullSafe(per_source.source)).select(
+    per_source = docs.sparkSession.createDataFrame(
+        [(*target, solved[target[0]]) for target in targets],
+        "source string, docs long, source_size long, target double, lambda double",
+    )
+    rated = sized.join(_few(per_source, len(targets)), sized.source.eqNullSafe(per_source.source)).select(
         sized["*"], "docs", "source_size", "target",
         F.least(F.exp(F.col("lambda") + F.col("offset")), F.lit(max_rate)).alias("rate"),
     )
