@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bag_minhash, chat_format, mixing
+from tunelake.llm import bag_minhash, chat_format, decontaminate, mixing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,10 +68,16 @@ def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item it holds, with the best window."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_mixing": op2_mixing,
     "op4_bag_minhash": op4_bag_minhash,
+    "op6_decontamination": op6_decontamination,
 }
 _STATEMENTS = {"op1_chat_formatting": OP1_SQL}
 
