@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bag_minhash, chat_format, decontaminate, mixing
+from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing
+from tunelake.llm.common import held_out_row
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,11 +74,20 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from three quarters of them: ``doc_id, held_out, lang_pred, score``."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = language_id.learnt_network(docs, language_id.learning_rule())
+    found = language_id.identify(docs.select("doc_id", "text"), network)
+    return found.select("doc_id", held_out_row("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
 _QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_mixing": op2_mixing,
     "op4_bag_minhash": op4_bag_minhash,
     "op6_decontamination": op6_decontamination,
+    "op10_language_id": op10_language_id,
 }
 _STATEMENTS = {"op1_chat_formatting": OP1_SQL}
 
