@@ -1,6 +1,6 @@
 """Work tables in the shared folder, and the hashing of words and word shingles that several operators use.
 
-A *word* is a run without white space in the lower-case text. A *shingle* is five words in a row; a text of
+A *word* is a run without ASCII white space in the lower-case text. A *shingle* is five words in a row; a text of
 one to four words is one shingle of all its words, and a text without words has none.
 """
 
@@ -9,14 +9,13 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.session import shared_folder
 
 SHINGLE_WORDS = 5
-#: A worker forgets the words it has met when it holds this many (about 100 MB).
+#: A worker remembers the first so many different words it meets (about 100 MB), most frequent words among them.
 REMEMBERED_WORDS = 500_000
 
 
@@ -50,23 +49,51 @@ def mixed(values: np.ndarray) -> np.ndarray:
         return values ^ (values >> np.uint64(31))
 
 
-class _Words(dict):
-    def __missing__(self, word: str) -> int:
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
+#: Bytes hashed at once, but for a word that is longer.
+_BLOCK_BYTES = 1 << 20
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-_words = _Words()
+def _powers_to(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    if len(_powers[0]) < size:
+        size = max(size, 1 << 16)
+        for place, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(size, base, np.uint64)
+            factors[0] = 1
+            with np.errstate(over="ignore"):
+                _powers[place] = np.multiply.accumulate(factors)
+    return _powers
+
+
+def _block_hashes(data: np.ndarray) -> np.ndarray:
+    edges = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _powers_to(len(data) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
+        codes = (sums[ends] - sums[starts]) * down[starts]
+    return mixed(codes ^ (ends - starts).astype(np.uint64))
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash of every word, in order."""
+    """A 64-bit hash of every word, in order: a polynomial of its bytes, from running sums over the text."""
     if not text:
         return np.empty(0, np.uint64)
-    words = text.lower().split()
-    if len(_words) > REMEMBERED_WORDS:
-        _words.clear()
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    data = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
+    if len(data) <= _BLOCK_BYTES:
+        return _block_hashes(data)
+    spaces, parts, begin = np.flatnonzero(_SPACE[data]), [], 0
+    while begin < len(data):
+        behind = np.searchsorted(spaces, begin + _BLOCK_BYTES)
+        end = int(spaces[behind]) if behind < len(spaces) else len(data)
+        parts.append(_block_hashes(data[begin:end]))
+        begin = end
+    return np.concatenate(parts)
 
 
 def sequence_hashes(hashes: np.ndarray, length: int) -> np.ndarray:

@@ -38,6 +38,9 @@ WORDS_AT_ONCE = 5_000_000
 #: Windows fingerprinted at once.
 _WINDOWS = 4096
 
+_ROUGH_BITS = 24
+_ROUGH_SHIFT = np.uint64(64 - _ROUGH_BITS)
+
 _BIT_COUNTS = np.array([bin(value).count("1") for value in range(1 << 16)], np.uint8)
 
 
@@ -52,6 +55,11 @@ def fingerprints(totals: np.ndarray) -> np.ndarray:
     return np.packbits(totals >= 0, axis=1).view(np.uint16)
 
 
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of the values are in an ordered, non-empty array."""
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 class MultiIndex:
     """Items by their fingerprints; finds all within a radius."""
 
@@ -63,7 +71,7 @@ class MultiIndex:
         self.tables = []
         for block in range(BLOCKS):
             starts, members = [np.zeros(1, np.int64)], []
-            for part in np.array_split(values, 16):
+            for part in np.array_split(values, max(16, len(prints))):
                 close = _BIT_COUNTS[part[:, None] ^ prints[None, :, block]] <= near
                 members.append(np.nonzero(close)[1].astype(np.int32))
                 starts.append(close.sum(axis=1))
@@ -102,9 +110,9 @@ class Benchmark:
             self.sizes[size] = (members, shingles, MultiIndex(prints, radius))
         kept = [shingles for size, (_, shingles, _) in self.sizes.items() if size >= SHINGLE_WORDS]
         self.shingles = np.unique(np.concatenate(kept)) if kept else np.empty(0, np.uint64)
-        # Most shingles of a document are in no item: a table of 22 bits rules them out.
-        self.rough = np.zeros(1 << 22, bool)
-        self.rough[(self.shingles >> np.uint64(42)).astype(np.int64)] = True
+        # Most shingles of a document are in no item: a table by the first bits of their hash rules them out.
+        self.rough = np.zeros(1 << _ROUGH_BITS, bool)
+        self.rough[(self.shingles >> _ROUGH_SHIFT).astype(np.int64)] = True
         self.short = [size for size in self.sizes if size < SHINGLE_WORDS]
 
     def matches(self, text: str | None) -> list[tuple[int | None, float, int, int]]:
@@ -117,8 +125,9 @@ class Benchmark:
                 self._search(own, 1, size, best)
         if len(words) >= SHINGLE_WORDS and len(self.shingles):
             own = shingle_hashes(words)
-            maybe = np.nonzero(self.rough[(own >> np.uint64(42)).astype(np.int64)])[0]
-            if len(maybe) and np.isin(own[maybe], self.shingles).any():
+            maybe = np.nonzero(self.rough[(own >> _ROUGH_SHIFT).astype(np.int64)])[0]
+            maybe = maybe[_among(own[maybe], self.shingles)]
+            if len(maybe):
                 for size in self.sizes:
                     if SHINGLE_WORDS <= size <= len(words):
                         self._search(own, size - SHINGLE_WORDS + 1, size, best, maybe)
@@ -128,7 +137,7 @@ class Benchmark:
         """Compares all windows of ``width`` shingles that hold a shingle of an item of this size."""
         members, shingles, index = self.sizes[size]
         maybe = np.arange(len(own)) if maybe is None else maybe
-        hits = maybe[np.isin(own[maybe], shingles)]
+        hits = maybe[_among(own[maybe], shingles)]
         if not len(hits):
             return
         reach = np.zeros(len(own) + 1, np.int64)
@@ -149,6 +158,18 @@ class Benchmark:
                         best[item_id] = (value, start, size)
 
 
+_indexes: dict[str, Benchmark] = {}
+
+
+def _index(shared, radius: int, threshold: float) -> Benchmark:
+    """The index of a broadcast list of items; a worker serves many tasks and builds it once."""
+    key = f"{shared._path}-{radius}-{threshold}"
+    if key not in _indexes:
+        _indexes.clear()
+        _indexes[key] = Benchmark(shared.value, radius, threshold)
+    return _indexes[key]
+
+
 def _passes(items: DataFrame) -> int:
     size = items.agg(
         F.count("*").alias("items"), F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0)).alias("words")
@@ -172,7 +193,7 @@ def contaminated(
         shared = spark.sparkContext.broadcast(sorted((tuple(row) for row in rows), key=str))
 
         def searched(batches, shared=shared):
-            index = Benchmark(shared.value, radius, threshold)
+            index = _index(shared, radius, threshold)
             for batch in batches:
                 hits = [
                     (doc_id, *match) for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
