@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing
+from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing, toxicity
 from tunelake.llm.common import held_out_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document: ``doc_id, held_out, score, predicted``; learnt from two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), toxicity.learning_rule())
+    return toxicity.scored(docs, model).select(
+        "doc_id", held_out_row("doc_id", 3, 1).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("passages").alias("passages"),
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from three quarters of them: ``doc_id, held_out, lang_pred, score``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -87,6 +97,7 @@ _QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op4_bag_minhash": op4_bag_minhash,
     "op6_decontamination": op6_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
 _STATEMENTS = {"op1_chat_formatting": OP1_SQL}
