@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing, toxicity
+from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing, token_files, toxicity
 from tunelake.llm.common import held_out_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,19 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def tokenizer_path() -> str:
+    """The tokenizer that the queries use; the operators take its path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back by key: ``doc_id, start, n_tokens, ids_crc32``."""
+    index = token_files.write(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_files.read(index)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document: ``doc_id, held_out, score, predicted``; learnt from two thirds of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +110,7 @@ _QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op4_bag_minhash": op4_bag_minhash,
     "op6_decontamination": op6_decontamination,
+    "op7_token_files": op7_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
