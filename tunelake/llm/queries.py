@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing, token_files, toxicity
+from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing, token_files, toxicity, vptree, warc
 from tunelake.llm.common import held_out_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The pages given have no capture time.
+CAPTURED = "2024-01-01T00:00:00Z"
 TRICKY_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -64,6 +66,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and the conversion record of every page."""
+    responses = warc.page_responses(table(spark, sf_dir, "pages"), CAPTURED)
+    return warc.derivatives(responses).withColumn("page_id", F.col("source_key").cast("long")).drop(
+        "source_key", "record"
+    )
+
+
 def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-copy class of every document: ``doc_id, class_id``."""
     return bag_minhash.near_copies(table(spark, sf_dir, "documents"))
@@ -87,6 +97,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(index)
 
 
+def op8_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector: ``query_id, rank, vec_id, score``; exact search."""
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document: ``doc_id, held_out, score, predicted``; learnt from two thirds of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,9 +123,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_mixing": op2_mixing,
+    "op3_warc_derivatives": op3_warc_derivatives,
     "op4_bag_minhash": op4_bag_minhash,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
+    "op8_vantage_point_trees": op8_vantage_point_trees,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
 }
