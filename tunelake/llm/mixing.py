@@ -195,9 +195,9 @@ def mixed_rows(
 ) -> DataFrame:
     """The rows of ``docs``, each repeated as often as the mix takes it, with all their columns."""
     copies = _rounded(docs, weights, max_rate, offset).where("copies > 0").select(
-        F.struct("source", "doc_id", "place").alias("mix_key"), F.col("copies").alias("mix_copies")
+        F.struct("source", "doc_id", "place").alias("of"), "copies"
     )
-    keyed = docs.withColumn("mix_key_of_row", F.struct(*_row_keys()))
-    return keyed.join(copies, keyed.mix_key_of_row.eqNullSafe(copies.mix_key)).withColumn(
-        "mix_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))
-    ).select(*(docs.columns))
+    keyed = docs.select(F.struct(*docs.columns).alias("given"), F.struct(*_row_keys()).alias("key"))
+    return keyed.join(copies, keyed.key.eqNullSafe(copies.of)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    ).select("given.*")
