@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     ).distinct()
     state, before = written(links, "links"), None
     while True:
-        now = state.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.sum("b")).first()
+        now = state.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(b)")).first()
         if now == before or not now[0]:
             break
         before = now

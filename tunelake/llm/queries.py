@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, mixing, token_files, toxicity, vptree, warc
+from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, line_dedup, mixing, token_files, toxicity, vptree, warc
 from tunelake.llm.common import held_out_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op4_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class and the number of links of every line."""
+    return line_dedup.near_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item it holds, with the best window."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -125,6 +130,7 @@ _QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_warc_derivatives": op3_warc_derivatives,
     "op4_bag_minhash": op4_bag_minhash,
+    "op5_line_dedup": op5_line_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
     "op8_vantage_point_trees": op8_vantage_point_trees,
