@@ -37,7 +37,7 @@ def test_ids_equal_those_of_the_library():
 def test_forgetting_does_not_change_ids(monkeypatch):
     texts = [f"some words {i} and\nmore{i}" for i in range(50)]
     whole = [ids.tolist() for ids in Encoder(PATH).encode(texts)]
-    monkeypatch.setattr(token_files, "REMEMBERED_WORDS", 9)
+    monkeypatch.setattr(token_files, "REMEMBERED_PIECES", 9)
     encoder = Encoder(PATH)
     assert [i.tolist() for k in range(0, 50, 5) for i in encoder.encode(texts[k:k + 5])] == whole
 

@@ -19,6 +19,7 @@ the tokenizer never joins.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tunelake.llm.common import REMEMBERED_WORDS, mixed, work_folder, written
+from tunelake.llm.common import mixed, work_folder, written
 
 MAGIC = b"TLIDS001"
 END_ID = 0
@@ -40,6 +41,9 @@ END_ID = 0
 SHARD_IDS = 32_000_000
 SHARD_DOCS = 200_000
 KEYS_PER_BUCKET = 4
+#: A worker remembers the first so many different pieces it meets, and encodes about so many characters at once.
+REMEMBERED_PIECES = 400_000
+CHUNK_CHARS = 4_000_000
 _SLOT = np.dtype([("fingerprint", "<u4"), ("start", "<u8"), ("count", "<u8")])
 _NO_ID = -(2**63)
 
@@ -167,7 +171,8 @@ class _Writer:
 
 #: Between these the byte-level tokenizer never joins: a space that stands alone between two other characters.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-_UNSAFE = re.compile(r"\s\s|^\s|\s$")
+_NO_SPACE_INSIDE = re.compile(r" ?\S+")
+_JOINED = 4096
 
 
 class Encoder:
@@ -179,6 +184,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         from tokenizers import Tokenizer
 
         settings = json.loads(open(path, encoding="utf-8").read())
@@ -188,47 +194,77 @@ class Encoder:
             cutter.get("use_regex", True) and not settings.get("normalizer")
         ) and not any(token["lstrip"] or token["rstrip"] or " " in token["content"] for token in settings["added_tokens"])
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, int] = {}
-        self._store([])
-
-    def _store(self, encoded: list[list[int]]) -> None:
-        """Pieces' ids one after the other; piece ``k`` has those from ``bounds[k]`` to ``bounds[k + 1]``."""
-        self.ids = np.array([token for ids in encoded for token in ids], np.uint32)
-        self.bounds = np.concatenate([[0], np.cumsum([len(ids) for ids in encoded])]).astype(np.int64)
-
-    def pieces(self, text: str) -> list[str]:
-        if not self.cuts or not text:
-            return [text] if text else []
-        if _UNSAFE.search(text):
-            first, *rest = _BETWEEN.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return [first, *rest]
+        #: Places of the pieces met, those that begin a text and those behind a space; the ids of piece ``k`` are
+        #: those from ``bounds[k]`` to ``bounds[k + 1]``.
+        self.heads: dict[str, int] = {}
+        self.tails: dict[str, int] = {}
+        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        feed = self._ids(["\n"])[0]
+        self.feed = feed[0] if self.cuts and len(feed) == 1 else None
+
+    def _cut(self, texts: list[str]) -> list[list[str]]:
+        """Each text in its pieces; a piece that white space starts or ends shows where a cut was not safe."""
+        if not self.cuts:
+            return [[text] if text else [] for text in texts]
+        cut = [text.split(" ") if text else [] for text in texts]
+        new = set().union(*cut).difference(self.tails)
+        unsafe = {piece for piece in new if not piece or piece[0].isspace() or piece[-1].isspace()}
+        if unsafe:
+            cut = [own if unsafe.isdisjoint(own) else _BETWEEN.split(text) for text, own in zip(texts, cut, strict=True)]
+        return cut
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after the other, and how many each has.
+
+        Pieces without white space inside are encoded many at a time with line feeds between them, which are cut
+        off as tokens of their own and stand nowhere else.
+        """
+        simple = [k for k, piece in enumerate(pieces) if self.feed is not None and _NO_SPACE_INSIDE.fullmatch(piece)]
+        found: dict[int, np.ndarray] = {}
+        for begin in range(0, len(simple), _JOINED):
+            part = simple[begin:begin + _JOINED]
+            ids = np.array(self._ids(["\n".join(pieces[k] for k in part)])[0], np.uint32)
+            parts = np.split(ids, np.flatnonzero(ids == self.feed))
+            if len(parts) == len(part):
+                found.update(zip(part, [parts[0], *(own[1:] for own in parts[1:])], strict=True))
+        rest = [k for k in range(len(pieces)) if k not in found]
+        found.update(zip(rest, (np.array(i, np.uint32) for i in self._ids([pieces[k] for k in rest])), strict=True))
+        ordered = [found[k] for k in range(len(pieces))]
+        return np.concatenate([np.empty(0, np.uint32), *ordered]), np.fromiter(map(len, ordered), np.int64, len(ordered))
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        cut = [self.pieces(text) for text in texts]
+        cut = self._cut(texts)
         # The first piece of a text stands without the space that begins all others.
-        heads = {own[0] for own in cut if own}
-        tails = set().union(*(own[1:] for own in cut))
-        wanted = [*heads, *(" " + piece for piece in tails)]
-        new = sorted({piece for piece in wanted if piece not in self.known})
-        encoded = [found.ids for found in self.tokenizer.encode_batch(new, add_special_tokens=False)] if new else []
-        ids = np.concatenate([self.ids, np.fromiter((t for own in encoded for t in own), np.uint32)])
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        new_heads = sorted({own[0] for own in cut if own}.difference(self.heads))
+        new_tails = sorted(set().union(*(own[1:] for own in cut)).difference(self.tails))
+        wanted = [*new_heads, *(" " + piece for piece in new_tails)]
+        encoded, sizes = self._encoded(wanted)
+        first = len(self.bounds) - 1
+        ids = np.concatenate([self.ids, encoded])
         bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
-        places = dict(zip(new, range(len(self.bounds) - 1, len(bounds) - 1), strict=True))
-        tail_place = {piece: self.known.get(" " + piece, places.get(" " + piece)) for piece in tails}
-        if len(bounds) <= REMEMBERED_WORDS:
-            self.known.update(places)
-            self.ids, self.bounds = ids, bounds
+        heads = dict(zip(new_heads, range(first, first + len(new_heads)), strict=True))
+        tails = dict(zip(new_tails, range(first + len(new_heads), first + len(wanted)), strict=True))
+        safe = not any(piece[-1].isspace() for piece in new_tails)
+        if safe and len(bounds) <= REMEMBERED_PIECES:
+            self.heads.update(heads)
+            self.tails.update(tails)
+            self.ids, self.bounds, tails = ids, bounds, {}
+        known = self.tails
+
+        def place(piece: str) -> int:
+            return known[piece] if piece in known else tails[piece]
+
         out = []
         for own in cut:
             if not own:
                 out.append(np.empty(0, np.uint32))
                 continue
-            at = np.fromiter(map(tail_place.__getitem__, own[1:]), np.int64, len(own) - 1)
-            head = self.known.get(own[0], places.get(own[0]))
+            head = self.heads[own[0]] if own[0] in self.heads else heads[own[0]]
+            at = np.fromiter(map(place if tails else known.__getitem__, own[1:]), np.int64, len(own) - 1)
             at = np.concatenate([[head], at])
             counts = bounds[at + 1] - bounds[at]
             ends = np.cumsum(counts)
@@ -245,9 +281,11 @@ def _encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _chunks(batch: pd.DataFrame, most: int = 256) -> Iterator[pd.DataFrame]:
-    for begin in range(0, len(batch), most):
-        yield batch.iloc[begin:begin + most]
+def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Parts of about ``CHUNK_CHARS`` characters, or of one text."""
+    number = batch["text"].str.len().cumsum() // CHUNK_CHARS
+    for _, chunk in batch.groupby(number.to_numpy(), sort=False):
+        yield chunk
 
 
 def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
