@@ -69,7 +69,7 @@ TABLES["raw_listeners"] = f"""
     FROM customer JOIN nation ON n_nationkey = c_nationkey"""
 
 TABLES["raw_artists"] = f"""
-    SELECT 'art_' || lpad(CAST(number AS VARCHAR), 3, '0') AS artist_id,
+    SELECT 'art_' || lpad(CAST(number AS VARCHAR), CAST(greatest(3, length(CAST(number AS VARCHAR))) AS INTEGER), '0') AS artist_id,
            {padded("number % 10 = 0", "p_brand")} AS name,
            CASE number % 5 WHEN 0 THEN lower(kind) WHEN 1 THEN ' ' || kind ELSE kind END AS genre,
            'NATION_' || number AS country,
@@ -93,7 +93,7 @@ TABLES["raw_tracks"] = f"""
     FROM (SELECT *, DATE '1990-01-01' + CAST(p_partkey * 7 % 12000 AS INTEGER) AS released,
                  CASE WHEN p_partkey % 10 = 0 THEN lower(p_type) ELSE p_type END AS kind,
                  CASE WHEN p_partkey % 90 = 89 THEN 'art_999'
-                      ELSE 'art_' || lpad(split_part(p_brand, '#', 2), 3, '0') END AS artist
+                      ELSE 'art_' || lpad(split_part(p_brand, '#', 2), CAST(greatest(3, length(split_part(p_brand, '#', 2))) AS INTEGER), '0') END AS artist
           FROM part)"""
 
 TABLES["event_streams"] = f"""
@@ -138,7 +138,7 @@ TABLES["clean_listeners"] = """
     FROM raw_listeners"""
 TABLES["clean_artists"] = f"""
     SELECT DISTINCT trim(artist_id) AS artist_id, trim(name) AS name, {cased("genre")} AS genre,
-           trim(country) AS country, CAST({whole("formed_year")} AS INTEGER) AS formed_year,
+           trim(country) AS country, TRY_CAST({whole("formed_year")} AS INTEGER) AS formed_year,
            {whole("monthly_listeners")} AS monthly_listeners
     FROM raw_artists"""
 TABLES["clean_tracks"] = f"""

@@ -1,6 +1,8 @@
 import hashlib
 import json
 
+import pytest
+
 from tests.conftest import RUN_AT, listener
 from tunelake import schemas
 from tunelake.operators.dedup import drop_copies
@@ -76,3 +78,31 @@ def test_copies_are_dropped_whatever_their_number_and_place(spark):
     rows = [("a", "h1")] * 500 + [("b", "h2"), ("c", "h3"), ("c", "h3")]
     df = spark.createDataFrame(rows, "v string, _row_hash string").repartition(7)
     assert sorted(r.v for r in drop_copies(df, ["v"]).collect()) == ["a", "b", "c"]
+
+
+def test_a_malformed_array_ends_the_load(spark, tmp_path):
+    text = json.dumps([listener(n) for n in range(5)])
+    for name, broken in (("cut", text[:-40]), ("slip", text.replace('"l2"', '"l2', 1))):
+        (tmp_path / f"{name}.json").write_text(broken)
+        with pytest.raises(Exception, match=f"(?s){name}.json|MALFORMED"):
+            raw_files.read_json(spark, str(tmp_path / f"{name}.json"), "listeners", RUN_AT).collect()
+
+
+def test_unreadable_lines_and_rows_are_rejections(spark, tmp_path):
+    lines = [json.dumps(listener(1)), '{"listener_id": "l2', json.dumps(listener(3))]
+    (tmp_path / "listeners.json").write_text("\n".join(lines))
+    path = str(tmp_path / "listeners.json")
+    kept = raw_files.read_json(spark, path, "listeners", RUN_AT, json_lines=True).collect()
+    refused = raw_files.unreadable_json(spark, path, "listeners").collect()
+    assert sorted(r.listener_id for r in kept) == ["l1", "l3"]
+    assert [tuple(r) for r in refused] == [("listeners", None, f"Unreadable line in listeners.json: {lines[1]}")]
+    header = ",".join(schemas.RAW_FIELDS["streams"])
+    cells = ["1"] * len(schemas.RAW_FIELDS["streams"])
+    rows = [",".join(cells), ",".join([*cells, "surplus"]), ",".join(cells[:-2])]
+    (tmp_path / "streams.csv").write_text("\n".join([header, *rows]) + "\n")
+    path = str(tmp_path / "streams.csv")
+    assert raw_files.read_csv(spark, path, "streams", RUN_AT).count() == 1
+    refused = raw_files.unreadable_csv(spark, path, "streams").collect()
+    assert sorted(r.rejection_reason for r in refused) == sorted(
+        f"Row that does not fit the header in streams.csv: {row}" for row in rows[1:]
+    )

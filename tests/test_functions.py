@@ -1,6 +1,6 @@
 import hashlib
 import json
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +53,27 @@ def test_event_time_is_cut_to_seconds(spark):
     assert shown == ["2025-03-01 10:11:12", "2025-03-01 10:11:12", None, None]
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_times_have_one_shape_and_do_not_depend_on_the_zone(spark, zone):
+    cells = ["10:15:00", "2024", "2024-01", "2024-1-5", "2024-02-30T10:00:00", "2020-01-01T23:30:00-05:00",
+             "2025-03-09T02:30:00", "2024-01-05", "2024-01-05T25:00:00", "2024-01-05 10:61", "2024-01-05T10:11Z "]
+    expected = [None, None, None, None, "2024-03-01 10:00:00", "2020-01-02 04:30:00", "2025-03-09 02:30:00",
+                "2024-01-05 00:00:00", None, None, "2024-01-05 10:11:00"]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        seconds = values(spark, "string", cells, lambda c: F.unix_timestamp(dates.event_time(c)))
+        days = values(spark, "string", cells, lambda c: dates.iso_date(c).cast("string"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    shown = [s if s is None else datetime.fromtimestamp(s, timezone.utc).strftime("%Y-%m-%d %H:%M:%S") for s in seconds]
+    assert shown == expected
+    assert days == [e and e[:10] for e in expected]
+
+
+def test_a_number_beyond_the_column_is_null(spark):
+    assert values(spark, "string", ["99999999999"], lambda c: text.whole_number(c).try_cast("int")) == [None]
+
+
 def test_calendar_fields_agree_with_strftime(spark):
     days = [date(2019, 1, 1) + timedelta(days=n) for n in range(3653)]
     rows = spark.createDataFrame([(d,) for d in days], "d date").select(

@@ -7,19 +7,39 @@ from pyspark.sql import functions as F
 
 # A calendar date, alone or followed by a time of day.
 _DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}([ T]+\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?[ ]*$"
+# Hour, minute, second, sign of the offset, its hours and minutes.
+_TIME_PARTS = r"^.{10}[ T]+(\d{2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?(?:Z|([+-])(\d{2}):(\d{2}))?[ ]*$"
 # Holidays that fall on the same day each year, as month-day (fixed values).
 FIXED_HOLIDAYS = ["01-01", "07-04", "11-11", "12-25"]
 DAYS_PER_YEAR = 365.25
 DAYS_PER_MONTH = 30.44
 
 
-def iso_date(text: Column) -> Column:
-    """``YYYY-MM-DD…`` as a date, else null. A day past the end of its month runs into the next one."""
+def _utc_seconds(text: Column) -> Column:
+    """Seconds since 1970 of a date with or without a time of day and an offset; null for any other text.
+
+    A day past the end of its month runs into the next one. Without an offset the time is taken as UTC.
+    """
     year, month, day = (
         F.substring(text, start, length).try_cast("int") for start, length in ((1, 4), (6, 2), (9, 2))
     )
-    usable = text.rlike(_DATE_SHAPE) & month.between(1, 12) & day.between(1, 31)
-    return F.when(usable, F.date_add(F.make_date(year, month, F.lit(1)), day - 1))
+
+    def part(group: int) -> Column:
+        """A group of digits of the time or the offset; 0 where it is not there."""
+        return F.coalesce(F.regexp_extract(text, _TIME_PARTS, group).try_cast("int"), F.lit(0))
+
+    hour, minute, second, offset_hour, offset_minute = (part(group) for group in (1, 2, 3, 5, 6))
+    ahead = F.when(F.regexp_extract(text, _TIME_PARTS, 4) == "-", -1).otherwise(1)
+    usable = text.rlike(_DATE_SHAPE) & month.between(1, 12) & day.between(1, 31) & (hour < 24) & (minute < 60)
+    usable &= (second < 60) & (offset_hour < 24) & (offset_minute < 60)
+    days = F.unix_date(F.date_add(F.make_date(year, month, F.lit(1)), day - 1)).cast("long")
+    of_day = hour * 3600 + minute * 60 + second - ahead * (offset_hour * 3600 + offset_minute * 60)
+    return F.when(usable, days * 86400 + of_day)
+
+
+def iso_date(text: Column) -> Column:
+    """``YYYY-MM-DD…`` as the UTC date, else null. A day past the end of its month runs into the next one."""
+    return F.date_from_unix_date(F.floor(_utc_seconds(text) / 86400).cast("int"))
 
 
 def mixed_date(text: Column) -> Column:
@@ -29,8 +49,11 @@ def mixed_date(text: Column) -> Column:
 
 
 def event_time(text: Column) -> Column:
-    """An ISO date-time as a timestamp cut to whole seconds, or null."""
-    return F.date_trunc("second", text.try_cast("timestamp"))
+    """An ISO date, with or without a time of day, as a timestamp cut to whole seconds, or null.
+
+    The same shapes are read as for dates, and the same days run into the next month.
+    """
+    return F.timestamp_seconds(_utc_seconds(text))
 
 
 def date_key(moment: Column) -> Column:

@@ -25,7 +25,7 @@ def known_text(value: Column) -> Column:
 def capitalised(value: Column) -> Column:
     """First letter upper, all others lower: ``hip hop`` gives ``Hip hop``, not ``Hip Hop``."""
     trimmed = F.trim(value)
-    return F.concat(F.upper(F.substring(trimmed, 1, 1)), F.lower(F.substring(trimmed, 2, 1_000_000_000)))
+    return F.concat(F.upper(F.substring(trimmed, 1, 1)), F.lower(F.substr(trimmed, F.lit(2))))
 
 
 def flag(value: Column) -> Column:

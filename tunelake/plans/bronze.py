@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +18,14 @@ RAW_FILES = {
 
 
 class Bronze:
-    """The four staging tables; each is obtained on first use."""
+    """The four staging tables; each is obtained on first use.
 
-    def __init__(self, obtain: Callable[[str], DataFrame]):
+    ``unreadable`` holds the records that could not be read, as rejections, a frame for each input that has any kind.
+    """
+
+    def __init__(self, obtain: Callable[[str], DataFrame], unreadable: Sequence[DataFrame] = ()):
         self._obtain = obtain
+        self.unreadable = unreadable
 
     @cached_property
     def listeners(self) -> DataFrame:
@@ -45,18 +49,25 @@ class Bronze:
 
 def load(spark: SparkSession, raw_dir: str, loaded_at: str, json_lines: bool = False) -> Bronze:
     """Read the four raw inputs. ``loaded_at`` is one timestamp for the whole batch."""
+    def path(entity: str) -> str:
+        return f"{raw_dir.rstrip('/')}/{RAW_FILES[entity]}"
+
     def obtain(entity: str) -> DataFrame:
-        path = f"{raw_dir.rstrip('/')}/{RAW_FILES[entity]}"
         if entity == "streams":
-            return raw_files.read_csv(spark, path, entity, loaded_at)
-        return raw_files.read_json(spark, path, entity, loaded_at, json_lines)
+            return raw_files.read_csv(spark, path(entity), entity, loaded_at)
+        return raw_files.read_json(spark, path(entity), entity, loaded_at, json_lines)
 
-    return Bronze(obtain)
+    unreadable = [raw_files.unreadable_csv(spark, path("streams"), "streams")]
+    if json_lines:
+        unreadable += [raw_files.unreadable_json(spark, path(e), e) for e in RAW_FILES if e != "streams"]
+    return Bronze(obtain, unreadable)
 
 
 def writing(store: LayerStore, bronze: Bronze) -> Bronze:
     """The same records, each table written on first use."""
-    return Bronze(lambda name: store.replace(LAYER, name, getattr(bronze, name), schemas.BRONZE[name]))
+    return Bronze(
+        lambda name: store.replace(LAYER, name, getattr(bronze, name), schemas.BRONZE[name]), bronze.unreadable
+    )
 
 
 def read(store: LayerStore) -> Bronze:

@@ -11,6 +11,7 @@ from tunelake.plans import silver as silver_plan
 from tunelake.plans.bronze import Bronze
 from tunelake.plans.gold import Calendar, Gold
 from tunelake.plans.silver import Silver
+from tunelake.session import require_utc
 from tunelake.sources.layers import LayerStore
 
 
@@ -43,6 +44,7 @@ def run(
     The exports share views, so the shared ones are written first: those of the summary, and all that
     the reports show unless only a few listeners are wanted.
     """
+    require_utc(spark)
     store = LayerStore(spark, out_dir)
     gold = write_layers(store, bronze_plan.load(spark, raw_dir, run_at, json_lines), run_at, calendar)[2]
     serving.register_views(spark, gold)

@@ -49,7 +49,7 @@ def clean_artists(raw: DataFrame) -> DataFrame:
         F.trim("name").alias("name"),
         text.capitalised(F.col("genre")).alias("genre"),
         F.trim("country").alias("country"),
-        year.cast("int").alias("formed_year"),
+        year.try_cast("int").alias("formed_year"),
         text.whole_number(F.col("monthly_listeners")).alias("monthly_listeners"),
     )
 
@@ -241,6 +241,7 @@ class Silver:
     @cached_property
     def rejected_records(self) -> DataFrame:
         logged = reduce(DataFrame.unionByName, [
+            *self._bronze.unreadable,
             tracks_without_artist(self._bronze.tracks, self.artists),
             streams_without_track(self._bronze.streams, self.tracks),
             streams_without_listener(self._bronze.streams, self.listeners, self.tracks),

@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Zulu", "UCT")
+
 _local_folders: dict[str, str] = {}
 
 
@@ -34,7 +36,14 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        raise ValueError("create the session with spark.checkpoint.dir set to a folder that every executor can reach")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tunelake-")
     return _local_folders[context.applicationId]
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Days and hours of the layers are those of UTC; a session of another zone would read them differently."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, not {zone}")

@@ -11,6 +11,10 @@ from tunelake import schemas
 from tunelake.functions.row_hash import json_text, record_text, row_hash
 
 
+#: Holds the text of a record that cannot be read.
+UNREADABLE = "_unreadable"
+
+
 def _audited(
     df: DataFrame, texts: Mapping[str, str], json_texts: Mapping[str, str], source_file: str, loaded_at: str,
 ) -> DataFrame:
@@ -31,12 +35,16 @@ def read_json(
     """Records of flat objects; fields beyond the declared ones are dropped.
 
     ``json_lines=False`` reads whole files holding one array each, a task per file. Large inputs
-    should be one object per line, which Spark splits. Fields are read with their JSON types, so that
+    should be one object per line, which Spark splits. A malformed array ends the load; a malformed line
+    is left to ``unreadable_json``. Fields are read with their JSON types, so that
     the hash tells ``1`` from ``"1"``, and then turned into text.
     """
     fields = schemas.RAW_FIELDS[entity]
     schema = ", ".join(f"{field} variant" for field in fields)
-    records = spark.read.schema(schema).option("multiLine", not json_lines).json(path)
+    if json_lines:
+        records = _json_lines(spark, path, schema).where(F.col(UNREADABLE).isNull())
+    else:  # an array cannot be read beyond a slip: the load fails and names the file
+        records = spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(path)
 
     def as_text(field: str) -> str:
         text = f"try_variant_get({field}, '$', 'string')"
@@ -51,17 +59,58 @@ def read_json(
     )
 
 
+def _any(text: str) -> str:
+    """True for every record. Spark refuses to read the text of unreadable records alone, so this reads a field too."""
+    return f"coalesce(length({text}), 0) >= 0"
+
+
+def _json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    records = spark.read.schema(f"{schema}, {UNREADABLE} string").option("columnNameOfCorruptRecord", UNREADABLE)
+    first = schema.split()[0]
+    return records.json(path).where(_any(f"try_variant_get({first}, '$', 'string')"))
+
+
+def _refused(records: DataFrame, entity: str, reason: str) -> DataFrame:
+    """Unreadable records as rejections, each with its file and text."""
+    return records.where(F.col(UNREADABLE).isNotNull()).select(
+        F.lit(entity).alias("source_table"), F.lit(None).cast("string").alias("source_id"),
+        F.concat(F.lit(f"{reason} in "), F.col("_metadata.file_name"), F.lit(": "), F.col(UNREADABLE)).alias(
+            "rejection_reason"
+        ),
+    )
+
+
+def unreadable_json(spark: SparkSession, path: str, entity: str) -> DataFrame:
+    """The lines of JSON-lines files that are no objects: ``source_table, source_id, rejection_reason``."""
+    schema = ", ".join(f"{field} variant" for field in schemas.RAW_FIELDS[entity])
+    return _refused(_json_lines(spark, path, schema), entity, "Unreadable line")
+
+
+def _csv_rows(spark: SparkSession, path: str, multi_line: bool) -> tuple[list[str], DataFrame]:
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    schema = ", ".join(f"`{column}` string" for column in [*header, UNREADABLE])
+    # All columns are parsed, as a row of which only some are read would seem to fit.
+    rows = spark.read.schema(schema).options(
+        **options, enforceSchema=False, columnNameOfCorruptRecord=UNREADABLE, columnPruning=False
+    )
+    return header, rows.csv(path).where(_any(f"`{header[0]}`"))
+
+
+def unreadable_csv(spark: SparkSession, path: str, entity: str, multi_line: bool = False) -> DataFrame:
+    """The rows with more or fewer cells than the header: ``source_table, source_id, rejection_reason``."""
+    return _refused(_csv_rows(spark, path, multi_line)[1], entity, "Row that does not fit the header")
+
+
 def read_csv(spark: SparkSession, path: str, entity: str, loaded_at: str, multi_line: bool = False) -> DataFrame:
     """Rows of CSV files with a header; columns are found by name, an empty cell is missing.
 
     The header is the only thing read ahead; each file's own header is checked against it. Quotes
     inside quotes are doubled. ``multi_line`` allows line breaks inside quotes, at the price of one
-    task per file.
+    task per file. Rows that do not fit the header are left to ``unreadable_csv``.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
-    header = spark.read.options(**options).csv(path).columns
-    schema = ", ".join(f"`{column}` string" for column in header)
-    rows = spark.read.schema(schema).options(**options, enforceSchema=False).csv(path)
+    header, rows = _csv_rows(spark, path, multi_line)
+    rows = rows.where(F.col(UNREADABLE).isNull())
     fields = schemas.RAW_FIELDS[entity]
     return _audited(
         rows,

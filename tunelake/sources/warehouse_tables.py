@@ -70,7 +70,7 @@ def raw_artists(spark: SparkSession, folder: str) -> DataFrame:
     """Brands as artists; the genre is the type of the brand's first part."""
     brands = table(spark, folder, "part").groupBy("p_brand").agg(F.min_by("p_type", "p_partkey").alias("kind"))
     return brands.selectExpr("p_brand", "kind", "CAST(split_part(p_brand, '#', 2) AS INT) AS number").selectExpr(
-        "concat('art_', lpad(number, 3, '0')) AS artist_id",
+        "concat('art_', lpad(number, greatest(3, length(number)), '0')) AS artist_id",
         _padded("number % 10 = 0", "p_brand") + " AS name",
         "CASE number % 5 WHEN 0 THEN lower(kind) WHEN 1 THEN concat(' ', kind) ELSE kind END AS genre",
         "concat('NATION_', number) AS country",
@@ -82,7 +82,8 @@ def raw_artists(spark: SparkSession, folder: str) -> DataFrame:
 def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as tracks."""
     released = "date_add(DATE '1990-01-01', CAST(p_partkey * 7 % 12000 AS INT))"
-    artist = "if(p_partkey % 90 = 89, 'art_999', concat('art_', lpad(split_part(p_brand, '#', 2), 3, '0')))"
+    number = "split_part(p_brand, '#', 2)"
+    artist = f"if(p_partkey % 90 = 89, 'art_999', concat('art_', lpad({number}, greatest(3, length({number})), '0')))"
     return table(spark, folder, "part").selectExpr(
         "concat('trk_', p_partkey) AS track_id",
         _padded("p_partkey % 50 = 0", "p_name") + " AS title",
