@@ -27,7 +27,8 @@ from tunelake.llm.common import written
 
 SHARD_ROWS = 8192
 QUERY_ROWS = 512
-LEAF_ROWS = 64
+#: Large leaves keep the work in a few large products; smaller ones prune more where vectors cluster.
+LEAF_ROWS = 512
 NEIGHBOURS = 20
 _ROUNDING = 1e-9
 
