@@ -96,6 +96,15 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.concatenate(parts)
 
 
+class Places(dict):
+    """Places of remembered pieces; those of pieces met once are asked in ``rare``."""
+
+    rare: dict[str, int] = {}
+
+    def __missing__(self, piece: str) -> int:
+        return self.rare[piece]
+
+
 def sequence_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """A hash of every ``length`` values in a row."""
     count = len(hashes) - length + 1

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import REMEMBERED_WORDS, training_row
+from tunelake.llm.common import REMEMBERED_WORDS, Places, training_row
 
 UNKNOWN = "und"
 RUN_BYTES = 32
@@ -197,7 +197,7 @@ class Identifier:
 
     def __init__(self, network: Network):
         self.network = network
-        self.known: dict[str, int] = {}
+        self.known = Places()
         self.sums = np.empty((0, len(network.languages) + 1), np.float32)
 
     def _read(self, pieces: list[str]) -> np.ndarray:
@@ -217,18 +217,14 @@ class Identifier:
         sums = np.concatenate([self.sums, self._read(new)]) if new else self.sums
         if len(sums) <= REMEMBERED_WORDS:
             self.known.update(places)
-            self.sums, places = sums, {}
-        known = self.known
-
-        def place(piece: str) -> int:
-            return known[piece] if piece in known else places[piece]
-
+            self.sums = sums
+        self.known.rare = places
         for text, pieces in zip(texts, split, strict=True):
             if not pieces or not _LETTER.search(text):
                 names.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            at = np.fromiter(map(place if places else known.__getitem__, pieces), np.int64, len(pieces))
+            at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
             total = sums[at].sum(axis=0, dtype=np.float64)
             mean = total[:-1] / max(1.0, total[-1])
             best = int(mean.argmax())

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tunelake.llm.common import mixed, work_folder, written
+from tunelake.llm.common import Places, mixed, work_folder, written
 
 MAGIC = b"TLIDS001"
 END_ID = 0
@@ -172,7 +172,7 @@ class _Writer:
 #: Between these the byte-level tokenizer never joins: a space that stands alone between two other characters.
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _NO_SPACE_INSIDE = re.compile(r" ?\S+")
-_JOINED = 4096
+_JOINED = 1024
 
 
 class Encoder:
@@ -197,21 +197,26 @@ class Encoder:
         #: Places of the pieces met, those that begin a text and those behind a space; the ids of piece ``k`` are
         #: those from ``bounds[k]`` to ``bounds[k + 1]``.
         self.heads: dict[str, int] = {}
-        self.tails: dict[str, int] = {}
+        self.tails = Places()
         self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
         feed = self._ids(["\n"])[0]
         self.feed = feed[0] if self.cuts and len(feed) == 1 else None
 
-    def _cut(self, texts: list[str]) -> list[list[str]]:
-        """Each text in its pieces; a piece that white space starts or ends shows where a cut was not safe."""
+    def _cut(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
+        """Each text in its pieces, and all pieces that are not remembered.
+
+        A piece that white space starts or ends shows where a cut was not safe.
+        """
         if not self.cuts:
-            return [[text] if text else [] for text in texts]
+            cut = [[text] if text else [] for text in texts]
+            return cut, set().union(*cut)
         cut = [text.split(" ") if text else [] for text in texts]
         new = set().union(*cut).difference(self.tails)
         unsafe = {piece for piece in new if not piece or piece[0].isspace() or piece[-1].isspace()}
         if unsafe:
             cut = [own if unsafe.isdisjoint(own) else _BETWEEN.split(text) for text, own in zip(texts, cut, strict=True)]
-        return cut
+            new = set().union(*cut).difference(self.tails)
+        return cut, new
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces one after the other, and how many each has.
@@ -219,28 +224,32 @@ class Encoder:
         Pieces without white space inside are encoded many at a time with line feeds between them, which are cut
         off as tokens of their own and stand nowhere else.
         """
-        simple = [k for k, piece in enumerate(pieces) if self.feed is not None and _NO_SPACE_INSIDE.fullmatch(piece)]
-        found: dict[int, np.ndarray] = {}
-        for begin in range(0, len(simple), _JOINED):
-            part = simple[begin:begin + _JOINED]
-            ids = np.array(self._ids(["\n".join(pieces[k] for k in part)])[0], np.uint32)
-            parts = np.split(ids, np.flatnonzero(ids == self.feed))
-            if len(parts) == len(part):
-                found.update(zip(part, [parts[0], *(own[1:] for own in parts[1:])], strict=True))
-        rest = [k for k in range(len(pieces)) if k not in found]
-        found.update(zip(rest, (np.array(i, np.uint32) for i in self._ids([pieces[k] for k in rest])), strict=True))
-        ordered = [found[k] for k in range(len(pieces))]
-        return np.concatenate([np.empty(0, np.uint32), *ordered]), np.fromiter(map(len, ordered), np.int64, len(ordered))
+        all_ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for begin in range(0, len(pieces), _JOINED):
+            part = pieces[begin:begin + _JOINED]
+            if self.feed is not None and all(map(_NO_SPACE_INSIDE.fullmatch, part)):
+                ids = np.array(self._ids(["\n".join(part)])[0], np.uint32)
+                feeds = np.flatnonzero(ids == self.feed)
+                if len(feeds) == len(part) - 1:
+                    all_ids.append(np.delete(ids, feeds))
+                    sizes.append(np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1)
+                    continue
+            for own in self._ids(part):
+                all_ids.append(np.array(own, np.uint32))
+                sizes.append(np.array([len(own)]))
+        return np.concatenate(all_ids), np.concatenate(sizes)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        cut = self._cut(texts)
+        cut, new = self._cut(texts)
         # The first piece of a text stands without the space that begins all others.
-        new_heads = sorted({own[0] for own in cut if own}.difference(self.heads))
-        new_tails = sorted(set().union(*(own[1:] for own in cut)).difference(self.tails))
+        # Those with white space inside come last, and so do not keep others from being encoded together.
+        new_heads = list({own[0] for own in cut if own}.difference(self.heads))
+        spaced = [piece for piece in new if not _NO_SPACE_INSIDE.fullmatch(piece)]
+        new_tails = [*new.difference(spaced), *spaced]
         wanted = [*new_heads, *(" " + piece for piece in new_tails)]
         encoded, sizes = self._encoded(wanted)
         first = len(self.bounds) - 1
@@ -248,23 +257,19 @@ class Encoder:
         bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
         heads = dict(zip(new_heads, range(first, first + len(new_heads)), strict=True))
         tails = dict(zip(new_tails, range(first + len(new_heads), first + len(wanted)), strict=True))
-        safe = not any(piece[-1].isspace() for piece in new_tails)
+        safe = not any(piece[-1:].isspace() for piece in new_tails)
         if safe and len(bounds) <= REMEMBERED_PIECES:
             self.heads.update(heads)
             self.tails.update(tails)
-            self.ids, self.bounds, tails = ids, bounds, {}
-        known = self.tails
-
-        def place(piece: str) -> int:
-            return known[piece] if piece in known else tails[piece]
-
+            self.ids, self.bounds = ids, bounds
+        self.tails.rare = tails
         out = []
         for own in cut:
             if not own:
                 out.append(np.empty(0, np.uint32))
                 continue
             head = self.heads[own[0]] if own[0] in self.heads else heads[own[0]]
-            at = np.fromiter(map(place if tails else known.__getitem__, own[1:]), np.int64, len(own) - 1)
+            at = np.fromiter(map(self.tails.__getitem__, own[1:]), np.int64, len(own) - 1)
             at = np.concatenate([[head], at])
             counts = bounds[at + 1] - bounds[at]
             ends = np.cumsum(counts)
