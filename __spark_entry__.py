@@ -586,6 +586,11 @@ for _name, _on, _source in (("", _on_star, "plays"), ("_order_lines", _on_lines,
         f"""SELECT listener_id, listener_name, total_artists_played, q1_new_artists, q2_new_artists, q3_new_artists,
                    q4_new_artists FROM ({oracle.view_discovery(_source)})""",
     )
+_on_star(
+    "calendar_span", quality.calendar_span,
+    """SELECT count(*) AS days, strftime(min(full_date), '%Y-%m-%d') AS first_day,
+              strftime(max(full_date), '%Y-%m-%d') AS last_day FROM dim_date""",
+)
 _on_star(
     "listeners_by_age_group", lambda g: exploration.values_per_group(g.dim_listener, "age_group"),
     "SELECT age_group, count(*) AS members FROM dim_listener GROUP BY age_group",

@@ -115,6 +115,14 @@ def calendar_checks(gold: Gold, days: int = 365) -> list[DataFrame]:
     ]
 
 
+def calendar_span(gold: Gold) -> DataFrame:
+    """The number of days of the calendar, with its first and last day."""
+    return gold.dim_date.agg(
+        F.countDistinct("date_key").alias("days"), F.min("full_date").alias("first_day"),
+        F.max("full_date").alias("last_day"),
+    )
+
+
 def view_checks(views: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Both checks come from one count of each view."""
     expected = F.lit(len(serving.VIEWS)).cast("bigint")

@@ -259,16 +259,15 @@ def daily_platform_stats(gold: Gold) -> DataFrame:
 
 def top_artists_by_listener(gold: Gold, limit: int = TOP_ROWS) -> DataFrame:
     """Artists by time played. Ties go to the smaller artist id."""
-    artists = gold.dim_artist.select(
-        "artist_key", "artist_id", F.col("name").alias("artist_name"), F.col("genre").alias("artist_genre"),
-        "popularity_tier",
-    )
     per_artist = gold.listener_tracks.groupBy("listener_key", "artist_key").agg(*summed())
     ranked = top_per_group(
-        per_artist.join(artists, "artist_key"), ["listener_key"], [F.desc("played_ms"), F.asc("artist_id")],
-        limit, "artist_rank",
+        per_artist.join(gold.dim_artist.select("artist_key", "artist_id"), "artist_key"),
+        ["listener_key"], [F.desc("played_ms"), F.asc("artist_id")], limit, "artist_rank",
+    )
+    artists = gold.dim_artist.select(
+        "artist_key", F.col("name").alias("artist_name"), F.col("genre").alias("artist_genre"), "popularity_tier"
     )
-    return ranked.join(_listener_names(gold), "listener_key").select(
+    return ranked.join(artists, "artist_key").join(_listener_names(gold), "listener_key").select(
         "listener_id", "listener_name", "artist_id", "artist_name", "artist_genre", "popularity_tier",
         F.col("streams").alias("stream_count"),
         "full_plays",
