@@ -175,17 +175,17 @@ def _paired(batches):
             held = rows[starts[-1]:]
             if len(held) > HOT_LINES or held[0, 0] == hot_key:
                 hot_key = held[0, 0]
-                out += [(int(i), None, int(hot_key)) for i in held[:, 1]]
+                out += [(int(i), None, int(hot_key), int(role)) for _, i, role in held]
                 held = held[:0]
             starts, ends = starts[:-1], ends[:-1]
         for start, end in zip(*(x[ends - starts > 1 - (rows[starts, 0] == hot_key)].tolist() for x in (starts, ends)), strict=True):
             key, own = int(rows[start, 0]), rows[start:end]
             if end - start > HOT_LINES or key == hot_key:
-                out += [(int(i), None, key) for i in own[:, 1]]
+                out += [(int(i), None, key, int(role)) for _, i, role in own]
                 continue
             indexed, asked = own[own[:, 2] & _INDEXED > 0, 1], own[own[:, 2] & _ASKED > 0, 1]
-            out += [(min(i, j), max(i, j), None) for i in indexed.tolist() for j in asked.tolist() if i != j]
-        yield pd.DataFrame(list(set(out)), columns=["a", "b", "hot_key"]).astype("Int64")
+            out += [(min(i, j), max(i, j), None, None) for i in indexed.tolist() for j in asked.tolist() if i != j]
+        yield pd.DataFrame(list(set(out)), columns=["a", "b", "hot_key", "role"]).astype("Int64")
 
 
 def _then_none(batches):
@@ -268,12 +268,15 @@ def line_links(given: DataFrame, edits: int = EDITS) -> DataFrame:
     keys = long_lines.mapInPandas(_keyed(edits), "key long, line_id long, role byte")
     candidates = written(
         keys.repartition("key").sortWithinPartitions("key", "line_id").mapInPandas(
-            _paired, "a long, b long, hot_key long"
+            _paired, "a long, b long, hot_key long, role long"
         ), "line-candidates",
     )
     pairs = written(candidates.where("b IS NOT NULL").select("a", "b").distinct(), "line-pairs")
+    # A key under which no line is entered pairs none of those that ask for it.
+    by_key = candidates.where("hot_key IS NOT NULL")
+    entered = by_key.groupBy("hot_key").agg(F.max(F.col("role").bitwiseAND(_INDEXED)).alias("entered")).where("entered > 0")
     hot = written(
-        candidates.where("hot_key IS NOT NULL").select("hot_key", F.col("a").alias("line_id")).distinct(), "hot-lines"
+        by_key.join(entered, "hot_key").select("hot_key", F.col("a").alias("line_id")).distinct(), "hot-lines"
     )
     ids = written(
         pairs.select(F.col("a").alias("line_id")).unionByName(pairs.select(F.col("b").alias("line_id")))
