@@ -82,27 +82,35 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(first, last, right - left) for first, last, left, right, _ in found]
 
 
+class TokenScores(dict):
+    """Scores by token, of which the first ``REMEMBERED_WORDS`` are remembered."""
+
+    def __init__(self, feature_scores: np.ndarray):
+        super().__init__()
+        self.feature_scores = feature_scores
+
+    def __missing__(self, piece: str) -> float:
+        own = features(piece)
+        score = (float(self.feature_scores[own].max()) if own else 0.0) - DRIFT
+        if len(self) < REMEMBERED_WORDS:
+            self[piece] = score
+        return score
+
+
 @dataclass
 class Model:
     feature_scores: np.ndarray
     rate: float = 1.0
     volume: float = 1.0
     weights: np.ndarray = field(default_factory=lambda: np.array([-20.0, 0.0, 0.0]))
-    known: dict[str, float] = field(default_factory=dict, repr=False)
-
-    def token_score(self, piece: str) -> float:
-        score = self.known.get(piece)
-        if score is None:
-            own = features(piece)
-            score = (float(self.feature_scores[own].max()) if own else 0.0) - DRIFT
-            if len(self.known) < REMEMBERED_WORDS:
-                self.known[piece] = score
-        return score
+    known: TokenScores | None = field(default=None, repr=False)
 
     def scores(self, text: str | None) -> np.ndarray:
         """The score of every token, in order."""
+        if self.known is None:
+            self.known = TokenScores(self.feature_scores)
         pieces = text.split() if text else []
-        return np.fromiter(map(self.token_score, pieces), np.float64, len(pieces))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.float64, len(pieces))
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float, float]]]:
         """The number of tokens, and ``first, behind last, score, expectation`` of every segment."""
@@ -223,9 +231,10 @@ def _feature_counts(texts: DataFrame, sample: DataFrame) -> np.ndarray:
     by_bucket = texts.join(sample, "doc_id", "left").select("text", "toxic").mapInPandas(
         _counted, "bucket long, corpus long, toxic long, clean long"
     ).groupBy("bucket").agg(F.sum("corpus"), F.sum("toxic"), F.sum("clean"))
-    found = by_bucket.toPandas().to_numpy(np.int64)  # BUCKETS lines at most
+    found = by_bucket.toArrow()  # BUCKETS lines at most, 32 bytes each
     counts = np.zeros((3, BUCKETS), np.float64)
-    counts[:, found[:, 0]] = found[:, 1:].T
+    for kind in range(3):
+        counts[kind, found.column(0).to_numpy()] = found.column(kind + 1).to_numpy()
     return counts
 
 
@@ -257,7 +266,7 @@ def learn(docs: DataFrame, labels: DataFrame, rule: F.Column | None = None) -> M
 
     rows = texts.join(sample, "doc_id").select("text", "toxic").mapInPandas(
         described, "size long, parts array<double>, toxic int"
-    ).collect()
+    ).toArrow().to_pylist()
     tallies = [sum(np.array(r["parts"]) for r in rows if r["size"] < 0 and r["toxic"] == kind) for kind in (0, 1)]
     rows = [row for row in rows if row["size"] >= 0]
     clean = tallies[0] + 0.5 * (tallies[1] > 0)
