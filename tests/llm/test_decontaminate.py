@@ -91,3 +91,42 @@ def test_short_items_are_whole_shingles():
     pair = mixed(sequence_hashes(words, 2) + np.uint64(2))
     assert pair[1] == shingle_hashes(word_hashes("two three"))[0]
     assert decontaminate.Benchmark([(1, "Two  three")]).matches("one two three") == [(1, pytest.approx(1.0), 1, 2)]
+
+
+def _brute_force_with_cut_items(rows, items):
+    """As above, and a document with fewer words than the item is compared as a whole."""
+    found = _brute_force(rows, items)
+    for doc_id, text in rows:
+        words = word_hashes(text)
+        for item_id, wanted in items:
+            if 0 < len(words) < len(word_hashes(wanted)):
+                value = weighted_jaccard(shingle_hashes(words), shingle_hashes(word_hashes(wanted)))
+                if value >= 0.8:
+                    found[doc_id, item_id] = max(found.get((doc_id, item_id), 0), round(value, 6))
+    return found
+
+
+def test_a_document_that_is_a_cut_item_is_found(spark):
+    rng = random.Random(6)
+    words = [f"v{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(size))) for i, size in enumerate((3, 4, 5, 9, 16, 30, 50, 59))]
+    items += [(50, "again " * 30), (51, " ".join(items[6][1].split()[:-1])), (52, None)]
+    rows = []
+    for _, text in items[:-1]:
+        part = text.split()
+        for cut in range(len(part) // 3 + 1):
+            left = rng.randint(0, cut)
+            rows.append((len(rows), " ".join(part[left:len(part) - cut + left])))
+            edited = part[:len(part) - cut]
+            edited[rng.randrange(len(edited))] = "edited"
+            rows.append((len(rows), " ".join(edited)))
+    got = decontaminate.contaminated(
+        spark.createDataFrame([(*r, "x", None) for r in rows], DOCS).repartition(3),
+        spark.createDataFrame([(*i, "x") for i in items], ITEMS),
+    ).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in got} == _brute_force_with_cut_items(rows, items)
+    assert len(got) > len(_brute_force(rows, items)) + 20
+    texts = dict(rows)
+    assert all(r.first_word + r.n_words <= len(word_hashes(texts[r.doc_id])) for r in got)
+    cut = " ".join(items[6][1].split()[:-2])
+    assert (6, pytest.approx(44 / 46, abs=1e-6), 0, 48) in decontaminate.Benchmark(items).matches(cut)

@@ -1,6 +1,7 @@
 """Benchmark decontamination: windows of a benchmark item's size, found by SimHash and compared exactly.
 
-A window is as many words in a row as the item has. Its fingerprint has 64 bits, the majorities over the hashes of
+A window is as many words in a row as the item has; a document with fewer words than the item is one window, where
+it has enough shingles to be similar to the item at all. A window's fingerprint has 64 bits, the majorities over the hashes of
 its word shingles (each as often as it occurs). Fingerprints of the items of one size are kept in a multi-index:
 the 64 bits are cut into blocks, and for a radius ``r`` any fingerprint within it differs by at most
 ``r // blocks`` bits in some block; a table per block lists, for each value of the block, the items within that
@@ -129,9 +130,15 @@ class Benchmark:
             maybe = maybe[_among(own[maybe], self.shingles)]
             if len(maybe):
                 for size in self.sizes:
+                    width = size - SHINGLE_WORDS + 1
                     if SHINGLE_WORDS <= size <= len(words):
-                        self._search(own, size - SHINGLE_WORDS + 1, size, best, maybe)
-        return [(item, round(value, 6), start, size) for item, (value, start, size) in best.items()]
+                        self._search(own, width, size, best, maybe)
+                    elif size > len(words) and len(own) >= self.threshold * width - 1e-9:
+                        # The item has more words: the document is its only window, of fewer shingles.
+                        self._search(own, len(own), size, best, maybe)
+        return [
+            (item, round(value, 6), start, min(size, len(words))) for item, (value, start, size) in best.items()
+        ]
 
     def _search(self, own: np.ndarray, width: int, size: int, best: dict, maybe: np.ndarray | None = None) -> None:
         """Compares all windows of ``width`` shingles that hold a shingle of an item of this size."""
