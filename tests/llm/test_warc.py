@@ -81,3 +81,28 @@ def test_nulls_repeats_and_files(spark):
     assert [block.decode() for _, block in warc.read_records(data)] == [r.block for r in got]
     assert "source-http-header: X-Y: z" in next(r.block for r in got if r.source_key == "k")
     assert warc.derivatives(responses.limit(0)).count() == 0
+
+
+def test_omitted_end_tags_hide_nothing():
+    link, rest = "<a href=/1>b</a>", "<p>a " + "<a href=/1>b</a><p>c"
+    head = "<!doctype html><html><head><title>T</title><meta charset=utf-8><style>p {}</style>"
+    for page in (
+        head + "</head><body>" + rest, head + "<body>" + rest, head + rest, head + "a " + link + "<p>c",
+        head + "<script>x = '</head>'</script>" + rest, "<title>T" + rest, "<head><title>T</head>" + rest,
+        "<title>How to <script> <!--</title>" + rest, "<svg width=1 />" + rest, "<svg/>" + rest,
+        "<svg viewBox='0 0 1 1'/><p>a " + link + "<svg><title>x</title><text>y</text></svg><p>c",
+        "<noscript>" + rest, "<template>" + rest, "<svg>" + rest, "<noscript>no</noscript>" + rest,
+        "<svg><svg>x</svg>y</svg>" + rest, "<template><svg>x</template>" + rest, "<svg href=a/>x</svg>" + rest,
+        "<svg><style>x</svg>" + rest, "<head><script>x</head>" + rest, rest + "<script>x" + rest, rest + "<!--" + rest,
+        "<header-x>" + rest, "<svg-icon>" + rest,
+    ):
+        assert "".join(warc.plain_text(page).split()) == "abc", page
+        assert warc.links(page) == ["/1"], page
+    assert warc.title(head + rest) == "T" and warc.title("<title>T" + rest) == "T"
+    assert warc.title("<head><title>a <b> c</title>") == "a c"
+
+
+def test_many_unclosed_elements_take_time_in_proportion():
+    for tag in ("noscript", "svg", "template", "title", "head"):
+        page = f"<{tag}>word<p>" * 50_000
+        assert warc.plain_text(page) == ("" if tag == "title" else "\n".join(["word"] * 50_000))

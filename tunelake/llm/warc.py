@@ -6,7 +6,10 @@ and length, the title, and the links. Digests are SHA-1 in base 32, as archives
 (version 5) UUIDs of the response's id and the record type, so a run can be repeated.
 
 Text: comments, scripts, styles and the like go, block elements end lines, other tags vanish, character references
-are resolved, white space is folded and empty lines are left out. An unclosed comment or script reaches to the end.
+are resolved, white space is folded and empty lines are left out. An unclosed comment, script or style reaches to the end of the element it
+stands in (head, svg, template) or of the page; any other hidden element without end tag hides nothing but its tag.
+A head holds only hidden elements, of which each is left out by itself: what else stands there is text, as a browser
+takes it, so the end tag of the head is not needed. A title without end tag ends at the next tag.
 
 Rules: a null or empty payload gives both records, the conversion with an empty block. A null URI or header is left
 out of the records, not written as a word. A response without id gets one from its URI and payload. Repeated responses
@@ -21,6 +24,7 @@ import hashlib
 import html
 import re
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,17 +34,25 @@ from pyspark.sql import functions as F
 VERSION = "WARC/1.1"
 _NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tunelake:derived-warc-records")
 
-_HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>",
-    re.I | re.S,
+#: Where something may be hidden: comments and declarations, and the tags of the elements below.
+_MARK = re.compile(
+    r"<!--|<!\[CDATA\[|\]\]>|<[!?][^>]*>|<(/?)(script|style|noscript|title|svg|template|head)(?=[\s/>])([^>]*)>", re.I
 )
+#: What ends those whose content is not markup.
+_ENDS = {"<!--": re.compile("-->")} | {
+    name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in ("script", "style", "noscript")
+}
+#: A title without end tag does not go on into the body.
+_ENDS["title"] = re.compile(r"</title(?=[\s/>])[^>]*>|(?=</head[\s>]|<body[\s/>])", re.I)
+#: ``<svg a="b"/>`` is empty, ``<svg a=b/>`` is not: its attribute is ``b/``.
+_UNQUOTED = re.compile(r"=\s*[^\s\"'][^\s]*/$")
 _BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr"
     r"|html|li|main|nav|ol|option|p|pre|section|select|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>",
     re.I,
 )
 _TAG = re.compile(r"</?[a-z][^>]*>", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.I | re.S)
+_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>", re.I)
 _LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
@@ -48,23 +60,101 @@ def _folded(text: str) -> str:
     return " ".join(text.split())
 
 
+class _Ends:
+    """Finds ends from places that only go forward; looks no stretch of the page over twice."""
+
+    def __init__(self, page: str):
+        self.page, self.found = page, {}
+
+    def after(self, kind: str, at: int) -> re.Match | None:
+        if kind not in self.found or (self.found[kind] and self.found[kind].start() < at):
+            self.found[kind] = _ENDS[kind].search(self.page, at)
+        return self.found[kind]
+
+
+def _title_end(ends: _Ends, at: int) -> tuple[int, int]:
+    """Where the text of a title that begins here ends, and where its end tag does."""
+    found = ends.after("title", at)
+    if found and found.group():
+        return found.span()
+    # No end tag: its text ends at the next tag.
+    tag = _TAG.search(ends.page, at)
+    end = tag.start() if tag else len(ends.page)
+    return end, end
+
+
+def _hidden(page: str) -> Iterator[tuple[int, int]]:
+    """The stretches that are not shown, in the order of their ends; one may lie in a later one."""
+    ends, at = _Ends(page), 0
+    opened: list[tuple[str, int]] = []
+    numbers: Counter[str] = Counter()
+    while mark := _MARK.search(page, at):
+        begin, at = mark.span()
+        closing, name, rest = mark.group(1), (mark.group(2) or "").lower(), mark.group(3)
+        if closing:
+            if numbers[name]:
+                while True:
+                    inner, start = opened.pop()
+                    numbers[inner] -= 1
+                    if inner == name:
+                        break
+                if name != "head":
+                    yield start, at
+        elif name in ("svg", "template", "head"):
+            if name == "svg" and rest.endswith("/") and not _UNQUOTED.search(rest):
+                yield begin, at
+            else:
+                opened.append((name, begin))
+                numbers[name] += 1
+        elif name == "title":
+            at = _title_end(ends, at)[1]
+            yield begin, at
+        elif name or mark.group() == "<!--":
+            kind = name or "<!--"
+            if found := ends.after(kind, at if name else begin + 2):
+                at = found.end()
+            elif name != "noscript":
+                # Unclosed: to the end of the element it stands in, or of the page.
+                at = _outer_end(page, at, {outer for outer, count in numbers.items() if count})
+            yield begin, at
+        else:
+            yield begin, at
+
+
+def _outer_end(page: str, at: int, names: set[str]) -> int:
+    found = re.compile(rf"</(?:{'|'.join(sorted(names))})[\s/>]", re.I).search(page, at) if names else None
+    return found.start() if found else len(page)
+
+
+def _shown(page: str) -> str:
+    """The page with a space for everything hidden."""
+    kept, at = [], 0
+    for begin, end in sorted(_hidden(page)):
+        if begin >= at:
+            kept += [page[at:begin], " "]
+        at = max(at, end)
+    return "".join([*kept, page[at:]])
+
+
 def plain_text(page: str | None) -> str:
     """The visible text, one line per block."""
     if not page:
         return ""
-    body = _TAG.sub("", _BLOCK.sub("\n", _HIDDEN.sub(" ", page).replace("\r", "\n")))
+    body = _TAG.sub("", _BLOCK.sub("\n", _shown(page).replace("\r", "\n")))
     lines = (_folded(line) for line in html.unescape(body).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def title(page: str | None) -> str:
     found = _TITLE.search(page or "")
-    return _folded(html.unescape(_TAG.sub("", found.group(1)))) if found else ""
+    if not found:
+        return ""
+    return _folded(html.unescape(_TAG.sub("", page[found.end():_title_end(_Ends(page), found.end())[0]])))
 
 
 def links(page: str | None) -> list[str]:
     """Link targets in order, each once."""
-    found = (_folded(html.unescape(a or b or c)) for a, b, c in _LINK.findall(_HIDDEN.sub(" ", page or "")))
+    found = (_folded(html.unescape(a or b or c)) for a, b, c in _LINK.findall(_shown(page or "")))
     return list(dict.fromkeys(link for link in found if link))
 
 
