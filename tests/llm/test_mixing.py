@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,35 @@ def test_rows_are_repeated_with_all_columns(spark):
     assert rows.columns == docs.columns
     counted = {r.doc_id: r["count"] for r in rows.groupBy("doc_id").count().collect()}
     assert counted == {k: v for k, v in copies.items() if v}
+
+
+def _hot_row(n=45_000, hot=2300):
+    """Different documents for ten groups and more, and one row repeated so often that it holds a third of the words."""
+    rows = [(i, "w " * 10, "a", None) for i in range(n)] + [(i, "w " * 10, "b", None) for i in range(n, n + 500)]
+    return rows + [(-1, "hot " * 100, "a", str(i % 3) if i % 2 else None) for i in range(hot)]
+
+
+def test_a_hot_repeated_row_does_not_move_the_mix_from_its_target(spark):
+    docs = _docs(spark, _hot_row())
+    # Half of all words are due from b, so that a is taken at a rate between whole numbers.
+    mixed = mixing.mix(docs, weights=(1.0, 1.0), max_rate=70.0).where("source = 'a'")
+    row = mixed.agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("rate").alias("rate")).first()
+    assert 0.3 < row.rate < 0.7 and row.taken == pytest.approx(row.target, rel=0.001)
+    copies = {r.copies: r["count"] for r in mixed.where("doc_id = -1").groupBy("copies").count().collect()}
+    assert set(copies) == {0, 1} and sum(copies.values()) == 2300 and copies[1] == pytest.approx(2300 * row.rate, abs=10)
+
+
+def test_repeated_rows_get_neighbouring_copies_with_all_columns(spark):
+    rows = _hot_row(600, 90) + [(None, "n m", "a", None)] * 7 + [(-2, "x " * 9, "b", "z")] * 5
+    docs = _docs(spark, rows)
+    wanted = mixing.mix(docs, weights=(3.0, 2.0)).groupBy("doc_id").agg(F.sum("copies").alias("n")).where("n > 0")
+    taken = [mixing.mixed_rows(docs.repartition(k), weights=(3.0, 2.0)).collect() for k in (2, 5)]
+    counts = [Counter(tuple(r) for r in one) for one in taken]
+    assert counts[0] == counts[1] and set(counts[0]) <= set(rows)
+    by_id = Counter(r.doc_id for r in taken[0])
+    assert dict(by_id) == {r.doc_id: r.n for r in wanted.collect()}
+    given = Counter(rows)
+    rates = {r.source: r.rate for r in mixing.mix(docs, weights=(3.0, 2.0)).collect()}
+    for row, n in given.items():
+        assert n * math.floor(rates[row[2]]) <= counts[0][row] <= n * math.ceil(rates[row[2]])
+    assert any(counts[0][row] % n for row, n in given.items() if n > 1)

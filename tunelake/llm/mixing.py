@@ -7,9 +7,10 @@ aggregate over the documents by source. Rates are rounded into whole copies so t
 stay close to its target.
 
 Rules: a null text has no words; a document without words is taken as its rate says but adds nothing. Repeated
-rows (one id, source and text) are separate documents that get the same number of copies. A null source is a
-source of its own, after all others. Null ids are mixed like any other. An empty table gives an empty table. The
-same rows give the same mix, however they are partitioned.
+rows (one id, source and text) are separate documents; the copies of all of them together are rounded, so that each
+gets the whole number below its rate or the one above. Which get one more follows from their other columns. A null
+source is a source of its own, after all others. Null ids are mixed like any other. An empty table gives an empty
+table. The same rows give the same mix, however they are partitioned.
 
 The driver holds one line per source (``MAX_SOURCES`` at most, else an error), never lines per document.
 """
@@ -20,7 +21,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.llm.common import written
@@ -32,6 +33,8 @@ MAX_SOURCES = 1_000_000
 BROADCAST_SOURCES = 50_000
 #: Documents that are rounded together; a source has as many such groups as it needs.
 ROUNDED_TOGETHER = 4096
+#: Into so many the different rows of one document are dealt to be ordered.
+BUCKETS = 1024
 NEWTON_STEPS = 50
 
 
@@ -118,19 +121,21 @@ def multipliers(
 def _copies(group: pd.DataFrame) -> pd.DataFrame:
     """Whole copies, long documents first, each rounded to what brings the words taken closest to the words due.
 
-    Every rate is rounded up or down to a neighbouring whole number, so the words taken stay within half a
-    document of the words due, and the short documents at the end close that gap.
+    The copies that all rows of a document are due together are rounded up or down to a neighbouring whole number,
+    so the words taken stay within half a row of the words due, and the short documents at the end close that gap.
+    Every row gets ``copies``, and ``extra`` of the rows one more.
     """
     group = group.sort_values(["size", "place", "doc_id"], ascending=[False, True, True], kind="stable")
     due = taken = 0.0
-    copies = []
-    for size, rate in zip((group["size"] * group["rows"]).tolist(), group["rate"].tolist(), strict=True):
-        due += size * rate
-        low = math.floor(rate + 1e-9)
-        up = rate - low > 1e-9 and (due - taken - size * low) * 2 > size
-        copies.append(low + int(up))
-        taken += size * copies[-1]
-    group["copies"] = copies
+    copies, extra = [], []
+    for size, rows, rate in zip(group["size"].tolist(), group["rows"].tolist(), group["rate"].tolist(), strict=True):
+        due += size * rows * rate
+        low = math.floor(rows * rate + 1e-9)
+        up = rows * rate - low > 1e-9 and (due - taken - size * low) * 2 > size
+        copies.append((low + int(up)) // rows)
+        extra.append((low + int(up)) % rows)
+        taken += size * (low + int(up))
+    group["copies"], group["extra"] = copies, extra
     return group
 
 
@@ -145,8 +150,10 @@ def _row_keys() -> list[F.Column]:
 
 def _rounded(
     docs: DataFrame, weights: Sequence[float], max_rate: float, offset: F.Column | None,
-) -> DataFrame:
-    """One row per different document, with the number of its ``rows`` and the ``copies`` that each of them gets."""
+) -> tuple[DataFrame, bool]:
+    """One row per different document, with the number of its ``rows``, the ``copies`` that each of them gets, and
+    how many of them get one ``extra``. Also whether any document has more than one row.
+    """
     prior = (F.lit(0.0) if offset is None else offset.cast("double")).alias("offset")
     sized = docs.select(*_row_keys(), words(F.col("text")).alias("size"), prior)
     sized = written(
@@ -167,12 +174,13 @@ def _rounded(
     groups = F.ceil(F.col("docs") / F.lit(ROUNDED_TOGETHER)).cast("long")
     schema = (
         "doc_id long, source string, place long, size long, rows long, source_size long, target double, "
-        "rate double, copies long"
+        "rate double, copies long, extra long"
     )
     wanted = [field.split()[0] for field in schema.split(", ")]
-    return rated.withColumn("part", F.pmod("place", groups)).groupBy("source", "part").applyInPandas(
+    units = rated.withColumn("part", F.pmod("place", groups)).groupBy("source", "part").applyInPandas(
         lambda group: _copies(group)[wanted], schema
     )
+    return units, not sized.where("rows > 1").isEmpty()
 
 
 def mix(
@@ -182,22 +190,62 @@ def mix(
 
     ``offset`` is the logarithm of a document's prior rate (0 by default: all documents alike).
     """
-    units = _rounded(docs, weights, max_rate, offset)
-    each = units.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    units, _ = _rounded(docs, weights, max_rate, offset)
+    each = units.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).withColumn(
+        "copies", F.col("copies") + (F.col("row") <= F.col("extra")).cast("long")
+    )
     return each.select(
         "doc_id", "size", "source", "source_size", "target", "rate", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
 
 
+def _extra_rows(keyed: DataFrame, units: DataFrame) -> DataFrame:
+    """``given`` of the rows that get one copy more than the others of their document.
+
+    Rows equal in all columns are counted, never told apart. Different ones are taken by a hash of their columns,
+    in buckets, so that no task orders all rows of one document.
+    """
+    uneven = units.where("extra > 0").select("of", "extra")
+    counted = keyed.join(uneven, keyed.key.eqNullSafe(uneven.of)).groupBy("key", "extra", "given").agg(
+        F.count("*").alias("rows")
+    )
+    line = F.xxhash64(F.to_json("given"))
+    counted = written(counted.withColumn("line", line).withColumn("bucket", F.pmod("line", F.lit(BUCKETS))), "mix-uneven")
+    sums = counted.groupBy("key", "bucket").agg(F.sum("rows").alias("bucket_rows"))
+
+    def before(rows: str, *by: str, order: list[str]) -> F.Column:
+        above = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(rows).over(above), F.lit(0))
+
+    starts = sums.select(
+        F.col("key").alias("of"), F.col("bucket").alias("at"), before("bucket_rows", "key", order=["bucket"]).alias("start")
+    )
+    placed = counted.withColumn("within", before("rows", "key", "bucket", order=["line", "given"])).join(
+        starts, F.col("key").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at"))
+    )
+    more = F.least(F.col("rows"), F.col("extra") - F.col("start") - F.col("within"))
+    # In steps, so that no row holds a long array.
+    steps = F.explode(F.sequence(F.lit(0).cast("long"), F.col("more") - 1, F.lit(4096).cast("long")))
+    return placed.withColumn("more", more).where("more > 0").select("given", "more", steps.alias("step")).select(
+        "given", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(4096), F.col("more") - F.col("step"))))
+    ).select("given.*")
+
+
 def mixed_rows(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: float = MAX_RATE, offset: F.Column | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, each repeated as often as the mix takes it, with all their columns."""
-    copies = _rounded(docs, weights, max_rate, offset).where("copies > 0").select(
-        F.struct("source", "doc_id", "place").alias("of"), "copies"
-    )
+    units, repeated = _rounded(docs, weights, max_rate, offset)
+    units = units.select(F.struct("source", "doc_id", "place").alias("of"), "copies", "extra")
     keyed = docs.select(F.struct(*docs.columns).alias("given"), F.struct(*_row_keys()).alias("key"))
-    return keyed.join(copies, keyed.key.eqNullSafe(copies.of)).withColumn(
+    if repeated:
+        units = written(units, "mix-copies")
+    copies = units.where("copies > 0").select("of", "copies")
+    rows = keyed.join(copies, keyed.key.eqNullSafe(copies.of)).withColumn(
         "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     ).select("given.*")
+    if not repeated:
+        # Without repeated rows no document has an extra copy: a single row's copies are all its own.
+        return rows
+    return rows.unionByName(_extra_rows(keyed, units))
