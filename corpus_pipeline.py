@@ -7,8 +7,10 @@
 4. ``mixture``: sources are mixed to their target weights; a document stands as often as the mix takes it.
 5. ``tokens``: the documents become token files; the rows are the files' contents, read back by key.
 
-Null and empty texts have no letter, so they go in the first stage. Repeated rows of the document that stays are
-one document in the second stage. Rows without id are told apart by a hash of their text there and in the third.
+Null and empty texts have no letter, so they go in the first stage. In the second and third a document is an id and
+a text, told apart by a 64-bit hash of both: different texts of one id, or of no id, are judged each by itself.
+Repeated rows of the document that stays are one document in the second stage; of rows that differ in other columns
+the one with the smallest hash stays. Rows without id come after all others there.
 Columns that are not named by an operator are handed through, whatever their names. An empty table gives an empty
 result.
 """
@@ -39,18 +41,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The rows whole, and beside them ``doc_id`` (a large number from the text where there is none) and ``text``."""
-    from_text = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(2**62 - 1) + 2**62
+    """The rows whole, and beside them their ``id``, a hash of id and text as ``doc_id``, and ``text``."""
+    own = F.col("doc_id").cast("long")
     return docs.select(
-        F.struct(*docs.columns).alias("given"), F.coalesce(F.col("doc_id").cast("long"), from_text).alias("doc_id"),
-        F.col("text").alias("text"),
+        F.struct(*docs.columns).alias("given"), own.alias("id"),
+        F.xxhash64(F.lit(17), own, F.coalesce(F.col("text"), F.lit(""))).alias("doc_id"), F.col("text").alias("text"),
     )
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
-    stay = bag_minhash.near_copies(keyed).where("class_id = doc_id").select("doc_id").distinct()
-    return keyed.join(stay, "doc_id").dropDuplicates(["doc_id"]).select("given.*")
+    classes = bag_minhash.near_copies(keyed).distinct()
+    smallest = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "doc_id")).alias("smallest")
+    stay = keyed.select("id", "doc_id").distinct().join(classes, "doc_id").groupBy("class_id").agg(smallest)
+    return keyed.join(stay.select("smallest.doc_id"), "doc_id").groupBy("doc_id").agg(
+        F.min_by("given", F.xxhash64(F.to_json("given"))).alias("given")
+    ).select("given.*")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,20 @@ def test_registered():
         name if name == "pipeline" else name[:name.index("_") + 1] for name in registry.queries()
         if name == "pipeline" or name.startswith("op")
     }
+
+
+def test_different_texts_of_one_id_are_judged_each_by_itself(spark, tmp_path):
+    item, schema = "how many whole apples are in seven full baskets today", "doc_id long, text string, source string"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = [" ".join(f"{letter}{i}" for i in range(30)) for letter in "abcd"]
+    rows = [(7, texts[0], "x"), (7, texts[1], "x"), (7, f"{texts[2]} {item}", "x"), (8, texts[1], "x"), (3, texts[3], "y"),
+            (3, texts[3], "x"), (None, texts[3], "x"), (None, "p q r s t u", "x"), (None, "no id either", "x")]
+    kept = []
+    for order in (rows, rows[::-1]):
+        docs = corpus_pipeline.near_copies(spark, spark.createDataFrame(order, schema).repartition(3), "").cache()
+        kept.append(sorted((tuple(r) for r in docs.collect()), key=str))
+    assert kept[0] == kept[1]
+    # One of the two equal texts of id 3 stays, whatever its source; id 8 is a copy of a text of id 7.
+    assert [r[:2] for r in kept[0]] == [r[:2] for r in sorted([*rows[:3], rows[4], *rows[7:]], key=str)]
+    clean = corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in clean), key=str) == [r for r in kept[0] if item not in r[1]]
