@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunelake.llm import bag_minhash, chat_format, decontaminate, language_id, line_dedup, mixing, token_files, toxicity, vptree, warc
+from tunelake.llm import (
+    bag_minhash, chat_format, decontaminate, language_id, license_scan, line_dedup, mixing, periodic_runs, statements,
+    token_files, toxicity, vptree, warc,
+)
 from tunelake.llm.common import held_out_row
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +130,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out_row("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def repeated_order(doc_id: str | None, count: int) -> np.ndarray | None:
+    """For a tenth of the documents, by the crc32 of their ids, the words from some word on repeat those before."""
+    code = zlib.crc32(doc_id.encode()) if doc_id is not None else 1
+    if code % 10:
+        return None
+    first = code // 10 % count
+    period = 1 + (count - first) // (3 + code // 10 % 8)
+    number = np.arange(count)
+    return np.where(number < first, number, first + (number - first) % period)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document's words, the one with most periods, and what is left without the repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic_runs.run_digests(docs, repeated_order, "doc_id").drop("text")
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license phrases and notices of every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "notices")
+
+
 _QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_mixing": op2_mixing,
@@ -136,8 +163,14 @@ _QUERIES: dict[str, Query] = {
     "op8_vantage_point_trees": op8_vantage_point_trees,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_license_scan": op12_license_scan,
+}
+_STATEMENTS = {
+    "op1_chat_formatting": OP1_SQL,
+    "op11_periodic_runs": statements.OP11_SQL,
+    "op12_license_scan": statements.OP12_SQL,
 }
-_STATEMENTS = {"op1_chat_formatting": OP1_SQL}
 
 
 def queries() -> dict[str, Query]:
