@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunelake.llm import (
-    bag_minhash, chat_format, decontaminate, language_id, license_scan, line_dedup, mixing, periodic_runs, statements,
-    token_files, toxicity, vptree, warc,
+    bag_minhash, chat_format, decontaminate, hard_negatives, language_id, license_scan, line_dedup, mixing,
+    periodic_runs, statements, token_files, toxicity, vptree, warc,
 )
 from tunelake.llm.common import held_out_row
 
@@ -152,6 +152,14 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "notices")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector; every seventh has the label after its own."""
+    given = table(spark, sf_dir, "embeddings").where("vec_id IS NOT NULL AND label IS NOT NULL")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.quantised(given.withColumn("label", moved))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 _QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_mixing": op2_mixing,
@@ -165,11 +173,13 @@ _QUERIES: dict[str, Query] = {
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_license_scan": op12_license_scan,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 _STATEMENTS = {
     "op1_chat_formatting": OP1_SQL,
     "op11_periodic_runs": statements.OP11_SQL,
     "op12_license_scan": statements.OP12_SQL,
+    "op13_hard_negatives": statements.OP13_SQL,
 }
 
 
