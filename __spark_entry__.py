@@ -198,6 +198,49 @@ def _csv_file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_files.read_csv(spark, path, "streams", RUN_AT).drop("_source_file", "_loaded_at")
 
 
+#: Records of an array file, whose text goes through one row of one task.
+ARRAY_RECORDS = 50_000
+
+
+def _json_array_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks written as arrays, with braces and quotes inside strings, and loaded again by parts."""
+    path = _store(spark, sf_dir, "files").path("raw", "tracks_arrays")
+    odd = F.struct(F.lit('a } and a \\" {').alias("x"), F.array(F.struct(F.lit("},{").alias("y"))).alias("z"))
+    raw = warehouse_tables.raw_tracks(spark, sf_dir).withColumn("remark", odd)
+    files = -(-raw.count() // ARRAY_RECORDS)
+    record = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"}).alias("record")
+    arrays = raw.select(F.pmod(F.xxhash64("track_id", "title"), F.lit(files)).alias("file"), record).groupBy("file").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value")
+    )
+    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return _with_file_kind(raw_files.read_json(spark, path, "tracks", RUN_AT))
+
+
+def _quoted_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streams written as CSV with line breaks inside quotes, and loaded again by parts."""
+    path = _store(spark, sf_dir, "files").path("raw", "streams_quoted.csv")
+    raw = warehouse_tables.raw_streams(spark, sf_dir)
+    remark = F.concat(F.lit('first "line"\n,second: '), "stream_id")
+    raw.select(remark.alias("remark"), "*").write.mode("overwrite").options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    return _with_file_kind(raw_files.read_csv(spark, path, "streams", RUN_AT, multi_line=True))
+
+
+def _with_file_kind(loaded: DataFrame) -> DataFrame:
+    """Spark names the files it writes; what is the same each time is how a name begins and ends."""
+    kind = F.regexp_replace("_source_file", r"^(part)-.*(\.\w+)$", "$1$2")
+    return loaded.withColumn("_source_file", kind).drop("_loaded_at")
+
+
+_register(
+    "json_array_load", _json_array_load,
+    "SELECT * EXCLUDE (_source_file, _loaded_at), 'part.txt' AS _source_file FROM bronze_tracks",
+)
+_register(
+    "quoted_csv_load", _quoted_csv_load,
+    "SELECT * EXCLUDE (_source_file, _loaded_at), 'part.csv' AS _source_file FROM bronze_streams",
+)
 _register("json_file_load", _json_file_load, "SELECT * EXCLUDE (_source_file, _loaded_at) FROM bronze_tracks")
 _register("csv_file_load", _csv_file_load, "SELECT * EXCLUDE (_source_file, _loaded_at) FROM bronze_streams")
 _on_bronze(
