@@ -25,7 +25,7 @@ from checks import oracle  # noqa: E402
 from tunelake import schemas  # noqa: E402
 from tunelake.functions.classify import PersonalityRules  # noqa: E402
 from tunelake.operators import dedup  # noqa: E402
-from tunelake.plans import exploration, pipeline, quality, reports, serving  # noqa: E402
+from tunelake.plans import exploration, pipeline, quality, reload, reports, serving  # noqa: E402
 from tunelake.plans import gold as gold_plan  # noqa: E402
 from tunelake.plans import silver as silver_plan  # noqa: E402
 from tunelake.plans.bronze import Bronze  # noqa: E402
@@ -440,6 +440,29 @@ _on_layers(
         UNION ALL SELECT 'agg_monthly_genre_streams', count(*) FROM ({_MONTHLY_GENRE.format(plays="plays")})""",
 )
 
+def _reloaded(table: str) -> Query:
+    """A table after two loads: every third event late, and every second one again with them."""
+    def reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def derive(store: LayerStore) -> tuple:
+            bronze, silver, gold = event_layers(spark, sf_dir)
+            loads = reload.MonthlyLoads(store, silver, gold)
+            number = F.coalesce(F.trim("stream_id").try_cast("long"), F.lit(0))
+            loads.load(bronze.streams.where(number % 3 != 0))
+            loads.load(bronze.streams.where((number % 3 == 0) | (number % 2 == 0)))
+            return (loads,)
+
+        return _layers_of(spark, sf_dir, "reload", derive)[0].table(table).drop(gold_plan.MONTH_FOLDER)
+
+    return reloaded
+
+
+for _table, _sql in {
+    "fact_streams": f"SELECT {_shown(_FACT_COLUMNS)} FROM fact", "agg_daily_listener_streams": _DAILY_LISTENER.format(fact="fact"),
+    "agg_daily_track_streams": _DAILY_TRACK.format(fact="fact"),
+    "agg_monthly_genre_streams": _MONTHLY_GENRE.format(plays="plays"),
+}.items():
+    _register(f"reloaded_{_table}", _reloaded(_table), _sql)
+
 # Serving: all views over the events, and over the order lines.
 for _view, _function in serving.VIEWS.items():
     _on_star(_view, _function, oracle.VIEWS[_view]())

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import RUN_AT
 from tunelake.plans import bronze as bronze_plan
@@ -73,7 +74,23 @@ def test_more_copies_and_another_partitioning_change_nothing(spark, raw_dir, sil
 
 
 def test_a_missing_reference_is_refused(spark, layers):
-    from tunelake.plans.silver import streams_without_track
-    raw = spark.createDataFrame([("s1", None), ("s2", "trk_0001")], "stream_id string, track_id string")
-    rows = streams_without_track(raw, layers[1].tracks).collect()
+    from tunelake import schemas
+    from tunelake.plans.silver import streams_without_reference, with_references
+    fields = schemas.RAW_FIELDS["streams"]
+    raw = spark.createDataFrame(
+        [("s1", None), ("s2", "trk_0001"), ("s3", " trk_0001 ")], "stream_id string, track_id string"
+    ).select("*", *(F.lit("l1" if c == "listener_id" else None).alias(c) for c in fields[1:] if c != "track_id"))
+    rows = streams_without_reference(with_references(raw, layers[1].listeners, layers[1].tracks)).collect()
     assert [(r.source_id, r.rejection_reason) for r in rows] == [("s1", "Invalid track_id: <null>")]
+
+
+def test_bronze_streams_are_read_once(spark, raw_dir, layers):
+    """The streams, the shared ids and the refused records start from one table that is written once."""
+    written = []
+    silver = Silver(bronze_plan.load(spark, raw_dir, RUN_AT), RUN_AT, lambda name, df: written.append((name, df)) or df)
+    silver.starting_from(**{name: getattr(layers[1], name) for name in ("listeners", "artists", "tracks")})
+    silver.streams, silver.rejected_records
+    names = [name for name, _ in written]
+    assert names.count("referenced_streams") == 1
+    plan = dict(written)["referenced_streams"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [stream_id") == 1

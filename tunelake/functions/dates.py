@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # A calendar date, alone or followed by a time of day.
 _DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}([ T]+\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?[ ]*$"
+_PLAIN_SHAPE = r"^\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}:\d{2})?$"
 # Hour, minute, second, sign of the offset, its hours and minutes.
 _TIME_PARTS = r"^.{10}[ T]+(\d{2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?(?:Z|([+-])(\d{2}):(\d{2}))?[ ]*$"
 # Holidays that fall on the same day each year, as month-day (fixed values).
@@ -15,28 +16,48 @@ DAYS_PER_YEAR = 365.25
 DAYS_PER_MONTH = 30.44
 
 
-def _utc_seconds(text: Column) -> Column:
-    """Seconds since 1970 of a date with or without a time of day and an offset; null for any other text.
-
-    A day past the end of its month runs into the next one. Without an offset the time is taken as UTC.
-    """
+def _days(text: Column) -> tuple[Column, Column]:
+    """Days since 1970 of the date that a text begins with, and whether month and day are numbers of the calendar."""
     year, month, day = (
         F.substring(text, start, length).try_cast("int") for start, length in ((1, 4), (6, 2), (9, 2))
     )
+    days = F.unix_date(F.date_add(F.make_date(year, month, F.lit(1)), day - 1)).cast("long")
+    return days, month.between(1, 12) & day.between(1, 31)
+
+
+def _plain_seconds(text: Column) -> Column:
+    """The same as below of a text in the one shape that nearly all have, from fixed places."""
+    hour, minute, second = (
+        F.coalesce(F.substring(text, start, 2).try_cast("int"), F.lit(0)) for start in (12, 15, 18)
+    )
+    days, usable = _days(text)
+    usable &= (hour < 24) & (minute < 60) & (second < 60)
+    return F.when(usable, days * 86400 + hour * 3600 + minute * 60 + second)
 
+
+def _any_seconds(text: Column) -> Column:
     def part(group: int) -> Column:
         """A group of digits of the time or the offset; 0 where it is not there."""
         return F.coalesce(F.regexp_extract(text, _TIME_PARTS, group).try_cast("int"), F.lit(0))
 
     hour, minute, second, offset_hour, offset_minute = (part(group) for group in (1, 2, 3, 5, 6))
     ahead = F.when(F.regexp_extract(text, _TIME_PARTS, 4) == "-", -1).otherwise(1)
-    usable = text.rlike(_DATE_SHAPE) & month.between(1, 12) & day.between(1, 31) & (hour < 24) & (minute < 60)
-    usable &= (second < 60) & (offset_hour < 24) & (offset_minute < 60)
-    days = F.unix_date(F.date_add(F.make_date(year, month, F.lit(1)), day - 1)).cast("long")
+    days, usable = _days(text)
+    usable &= (hour < 24) & (minute < 60) & (second < 60) & (offset_hour < 24) & (offset_minute < 60)
     of_day = hour * 3600 + minute * 60 + second - ahead * (offset_hour * 3600 + offset_minute * 60)
     return F.when(usable, days * 86400 + of_day)
 
 
+def _utc_seconds(text: Column) -> Column:
+    """Seconds since 1970 of a date with or without a time of day and an offset; null for any other text.
+
+    A day past the end of its month runs into the next one. Without an offset the time is taken as UTC. Only a text
+    that is not in the plain shape is searched for its parts.
+    """
+    plain, dated = text.rlike(_PLAIN_SHAPE), text.rlike(_DATE_SHAPE)
+    return F.when(plain, _plain_seconds(text)).when(dated, _any_seconds(text))
+
+
 def iso_date(text: Column) -> Column:
     """``YYYY-MM-DD…`` as the UTC date, else null. A day past the end of its month runs into the next one."""
     return F.date_from_unix_date(F.floor(_utc_seconds(text) / 86400).cast("int"))

@@ -183,17 +183,18 @@ def agg_monthly_genre_streams(fact: DataFrame, tracks: DataFrame, days: DataFram
         .groupBy("year", "month", "track_key", "listener_key")
         .agg(F.count("*").alias("stream_count"), F.sum("duration_played_ms").alias("total_duration_ms"))
     )
-    counted = (
-        per_track.join(tracks.select("track_key", "genre"), "track_key")
-        .groupBy("year", "month", "genre")
-        .agg(
-            F.sum("stream_count").alias("stream_count"),
-            F.countDistinct("listener_key").alias("unique_listeners"),
-            F.countDistinct("track_key").alias("unique_tracks"),
-            F.sum("total_duration_ms").alias("total_duration_ms"),
-        )
+    month = ["year", "month", "genre"]
+    plays = per_track.join(tracks.select("track_key", "genre"), "track_key")
+    # Rows are counted after a grouping by each key; two distinct counts at once would double the rows first.
+    by_listener = plays.groupBy(*month, "listener_key").agg(
+        F.sum("stream_count").alias("stream_count"), F.sum("total_duration_ms").alias("total_duration_ms")
+    )
+    counted = by_listener.groupBy(*month).agg(
+        F.sum("stream_count").alias("stream_count"), F.count("*").alias("unique_listeners"),
+        F.sum("total_duration_ms").alias("total_duration_ms"),
     )
-    return schemas.conform(counted, schemas.GOLD["agg_monthly_genre_streams"])
+    heard = plays.select(*month, "track_key").distinct().groupBy(*month).agg(F.count("*").alias("unique_tracks"))
+    return schemas.conform(counted.join(heard, month), schemas.GOLD["agg_monthly_genre_streams"])
 
 
 def listener_tracks(fact: DataFrame, tracks: DataFrame) -> DataFrame:

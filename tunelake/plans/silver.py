@@ -20,7 +20,10 @@ from tunelake.sources.layers import LayerStore
 
 LAYER = "silver"
 # With the work tables that are written on the way to the streams, outside the layer.
-DDL = {**schemas.SILVER, "stream_candidates": schemas.SILVER["streams"], "shared_stream_id": "stream_id string"}
+DDL = {
+    **schemas.SILVER, "referenced_streams": f"{schemas.SILVER['streams']}, _stream_id string, _orphan string",
+    "shared_stream_id": "stream_id string",
+}
 # Allowed subscription types (fixed values).
 SUBSCRIPTIONS = ["free", "premium"]
 
@@ -67,8 +70,9 @@ def clean_tracks(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_streams(raw: DataFrame) -> DataFrame:
+def clean_streams(raw: DataFrame, *kept: str) -> DataFrame:
     return raw.select(
+        *kept,
         F.trim("stream_id").alias("stream_id"),
         F.trim("listener_id").alias("listener_id"),
         F.trim("track_id").alias("track_id"),
@@ -161,20 +165,32 @@ def tracks_without_artist(raw_tracks: DataFrame, artists: DataFrame) -> DataFram
     return rejections(orphans, "tracks", "track_id", text.labelled("Invalid artist_id: ", F.col("artist_id")))
 
 
-def streams_without_track(raw_streams: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Each refused stream once, however many copies of it were loaded."""
-    orphans = lacking_key(_with_trimmed(raw_streams, "track_id"), _ids(tracks, "track_id"), "_track_id")
-    reason = text.labelled("Invalid track_id: ", F.col("track_id"))
-    return rejections(orphans, "streams", "stream_id", reason).distinct()
+def referenced_streams(raw_streams: DataFrame, listeners: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Clean streams without copies, with the id as given and what is wrong with their references, if anything.
 
+    One look at the streams and one at each reference; a stream whose track is unknown gets that reason only.
+    """
+    return with_references(_without_copies(raw_streams, "streams"), listeners, tracks)
+
+
+def with_references(given: DataFrame, listeners: DataFrame, tracks: DataFrame, *kept: str) -> DataFrame:
+    """The same for raw streams that are no copies of one another; ``kept`` columns stay."""
+    raw_ids = {f"_{column}": F.col(column) for column in ("stream_id", "track_id", "listener_id")}
+    clean = clean_streams(given.withColumns(raw_ids), *raw_ids, *kept)
+    known = clean.join(tracks.select("track_id", F.lit(True).alias("_track")), "track_id", "left").join(
+        listeners.select("listener_id", F.lit(True).alias("_listener")), "listener_id", "left"
+    )
+    orphan = F.coalesce(
+        F.when(F.col("_track").isNull(), text.labelled("Invalid track_id: ", F.col("_track_id"))),
+        F.when(F.col("_listener").isNull(), text.labelled("Invalid listener_id: ", F.col("_listener_id"))),
+    )
+    return known.withColumn("_orphan", orphan).drop("_track", "_listener", "_track_id", "_listener_id")
 
-def streams_without_listener(raw_streams: DataFrame, listeners: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Bad listener but good track, so a stream gets one reason only."""
-    keyed = _with_trimmed(raw_streams, "track_id", "listener_id")
-    orphans = lacking_key(keyed, _ids(listeners, "listener_id"), "_listener_id")
-    orphans = having_key(orphans, _ids(tracks, "track_id"), "_track_id")
-    reason = text.labelled("Invalid listener_id: ", F.col("listener_id"))
-    return rejections(orphans, "streams", "stream_id", reason).distinct()
+
+def streams_without_reference(referenced: DataFrame) -> DataFrame:
+    """Each refused stream once, however many records it has."""
+    orphans = referenced.where("_orphan is not null")
+    return rejections(orphans, "streams", "_stream_id", F.col("_orphan")).distinct()
 
 
 # --- the layer ------------------------------------------------------------------------------------
@@ -183,12 +199,6 @@ def _without_copies(raw: DataFrame, table: str) -> DataFrame:
     return drop_copies(raw, schemas.RAW_FIELDS[table])
 
 
-def stream_candidates(raw_streams: DataFrame, listeners: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Clean streams without copies and with valid references."""
-    streams = clean_streams(_without_copies(raw_streams, "streams"))
-    return having_key(having_key(streams, tracks, "track_id"), listeners, "listener_id")
-
-
 class Silver:
     """The silver tables, each derived on first use.
 
@@ -229,10 +239,15 @@ class Silver:
     def tracks(self) -> DataFrame:
         return self._staged("tracks", sound(self._judged_tracks))
 
+    @cached_property
+    def _referenced_streams(self) -> DataFrame:
+        referenced = referenced_streams(self._bronze.streams, self.listeners, self.tracks)
+        return self._staged("referenced_streams", referenced)
+
     @cached_property
     def _judged_streams(self) -> DataFrame:
-        candidates = stream_candidates(self._bronze.streams, self.listeners, self.tracks)
-        return judged(self._staged("stream_candidates", candidates), "streams", ["stream_id"], self._staged)
+        candidates = schemas.conform(self._referenced_streams.where("_orphan is null"), schemas.SILVER["streams"])
+        return judged(candidates, "streams", ["stream_id"], self._staged)
 
     @cached_property
     def streams(self) -> DataFrame:
@@ -243,8 +258,7 @@ class Silver:
         logged = reduce(DataFrame.unionByName, [
             *self._bronze.unreadable,
             tracks_without_artist(self._bronze.tracks, self.artists),
-            streams_without_track(self._bronze.streams, self.tracks),
-            streams_without_listener(self._bronze.streams, self.listeners, self.tracks),
+            streams_without_reference(self._referenced_streams),
             refused(self._judged_listeners, "listeners", "listener_id"),
             refused(self._judged_artists, "artists", "artist_id"),
             refused(self._judged_tracks, "tracks", "track_id"),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,6 +28,31 @@ class LayerStore:
             writer = writer.partitionBy(folder_by)
         writer.parquet(self.path(layer, table))
 
+    def exists(self, layer: str, table: str) -> bool:
+        try:
+            self.spark.read.schema("_any int").parquet(self.path(layer, table))
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return False
+        return True
+
+    def replace_folders(
+        self, layer: str, table: str, df: DataFrame, ddl: str, folder_by: str, folders: Sequence[int],
+    ) -> DataFrame:
+        """Replace the folders of some values of ``folder_by``, whose rows ``df`` holds; the others are not touched.
+
+        Spark puts the new files of a folder in its place when all are written. A folder that has lost all rows
+        keeps an empty file.
+        """
+        path = self.path(layer, table)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder_by).parquet(path)
+        filled = {row[0] for row in df.select(folder_by).distinct().collect()}  # a row per month
+        for folder in sorted(set(folders) - filled):
+            none = df.where(F.lit(False)).drop(folder_by).coalesce(1)
+            none.write.mode("overwrite").parquet(f"{path}/{folder_by}={folder}")
+        return self.read(layer, table, ddl)
+
     def read(self, layer: str, table: str, ddl: str | StructType) -> DataFrame:
         return self.spark.read.schema(ddl).parquet(self.path(layer, table))
 
