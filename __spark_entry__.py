@@ -25,7 +25,7 @@ from checks import oracle  # noqa: E402
 from tunelake import schemas  # noqa: E402
 from tunelake.functions.classify import PersonalityRules  # noqa: E402
 from tunelake.operators import dedup  # noqa: E402
-from tunelake.plans import exploration, pipeline, quality, reload, reports, serving  # noqa: E402
+from tunelake.plans import exploration, pipeline, quality, reload, reports, serving, sketches  # noqa: E402
 from tunelake.plans import gold as gold_plan  # noqa: E402
 from tunelake.plans import silver as silver_plan  # noqa: E402
 from tunelake.plans.bronze import Bronze  # noqa: E402
@@ -654,9 +654,23 @@ for _name, _on, _source in (("", _on_star, "plays"), ("_order_lines", _on_lines,
     )
 _on_star(
     "calendar_span", quality.calendar_span,
-    """SELECT count(*) AS days, strftime(min(full_date), '%Y-%m-%d') AS first_day,
-              strftime(max(full_date), '%Y-%m-%d') AS last_day FROM dim_date""",
+    """SELECT (SELECT count(*) FROM dim_date) AS days, (SELECT strftime(min(full_date), '%Y-%m-%d') FROM dim_date) AS first_day,
+              (SELECT strftime(max(full_date), '%Y-%m-%d') FROM dim_date) AS last_day, min(date_key) AS first_played,
+              max(date_key) AS last_played, count(DISTINCT date_key) AS days_played, count(*) AS plays FROM fact""",
 )
+# Sketches kept by month, against exact counts and ranks.
+for _name, _on, _source in (("", _on_star, "plays"), ("_order_lines", _on_lines, "line_plays")):
+    _on(
+        f"yearly_genre_uniques{_name}", sketches.yearly_genre_uniques,
+        f"""SELECT year, genre, count(*) AS stream_count, count(DISTINCT listener_key) AS unique_listeners,
+                   count(DISTINCT track_key) AS unique_tracks, true AS within_error
+            FROM {_source} GROUP BY year, genre""",
+    )
+    _on(
+        f"listening_percentiles{_name}", sketches.percentiles_checked,
+        f"""SELECT listener_id, listening_percentile, true AS within_error
+            FROM ({oracle.view_year_in_review(_source)})""",
+    )
 _on_star(
     "listeners_by_age_group", lambda g: exploration.values_per_group(g.dim_listener, "age_group"),
     "SELECT age_group, count(*) AS members FROM dim_listener GROUP BY age_group",

@@ -116,11 +116,15 @@ def calendar_checks(gold: Gold, days: int = 365) -> list[DataFrame]:
 
 
 def calendar_span(gold: Gold) -> DataFrame:
-    """The number of days of the calendar, with its first and last day."""
-    return gold.dim_date.agg(
-        F.countDistinct("date_key").alias("days"), F.min("full_date").alias("first_day"),
-        F.max("full_date").alias("last_day"),
+    """The calendar's days beside the days that were played on; both sides are one row."""
+    days = gold.dim_date.agg(
+        F.count("*").alias("days"), F.min("full_date").alias("first_day"), F.max("full_date").alias("last_day")
     )
+    played = gold.fact_streams.groupBy("date_key").agg(F.count("*").alias("plays")).agg(
+        F.min("date_key").alias("first_played"), F.max("date_key").alias("last_played"),
+        F.count("*").alias("days_played"), F.coalesce(F.sum("plays"), F.lit(0)).alias("plays"),
+    )
+    return played.select(*(days.select(name).scalar().alias(name) for name in days.columns), *played.columns)
 
 
 def view_checks(views: Mapping[str, DataFrame]) -> list[DataFrame]:

@@ -39,13 +39,20 @@ def _track_plays(gold: Gold, *columns: str) -> DataFrame:
 
 
 def _listener_totals(gold: Gold) -> DataFrame:
-    """Measures and distinct tracks, artists and genres per listener."""
-    return gold.listener_tracks.groupBy("listener_key").agg(
-        *summed(),
-        F.count("*").alias("unique_tracks"),
-        F.countDistinct("artist_key").alias("unique_artists"),
-        F.countDistinct("genre").alias("unique_genres"),
+    """Measures and distinct tracks, artists and genres per listener.
+
+    Each distinct count is a row count after a grouping by (listener, thing); two at once would double the rows.
+    """
+    by_artist = gold.listener_tracks.groupBy("listener_key", "artist_key").agg(
+        *summed(), F.count("*").alias("unique_tracks")
+    )
+    totals = by_artist.groupBy("listener_key").agg(
+        *summed(), F.sum("unique_tracks").alias("unique_tracks"), F.count("*").alias("unique_artists")
+    )
+    genres = gold.listener_tracks.select("listener_key", "genre").distinct().groupBy("listener_key").agg(
+        F.count("genre").alias("unique_genres")
     )
+    return totals.join(genres, "listener_key")
 
 
 def _listener_days(gold: Gold) -> DataFrame:
