@@ -681,6 +681,44 @@ _on_star(
 )
 
 
+# --- written and read back ------------------------------------------------------------------------------
+
+def _read_back(name: str, like: str, question: Callable[[SparkSession, str, LayerStore], DataFrame]) -> None:
+    """A query whose rows come from files that it has written, with the statement of ``like``."""
+    _register(name, lambda spark, sf_dir: question(spark, sf_dir, _store(spark, sf_dir, "read_back")), None)
+    _oracles[name] = _oracles[like]
+
+
+def _exported_summary(spark: SparkSession, sf_dir: str, store: LayerStore) -> DataFrame:
+    summary, path = reports.summary_extract(event_layers(spark, sf_dir)[2]), store.path("exports", "summary")
+    reports.export_summary_csv(summary, path)
+    return spark.read.schema(summary.schema).option("header", True).csv(path)
+
+
+def _exported_documents(spark: SparkSession, sf_dir: str, store: LayerStore) -> DataFrame:
+    path = store.path("exports", "documents")
+    reports.export_reports(reports.reports(event_layers(spark, sf_dir)[2], 2024, RUN_AT), path)
+    documents = spark.read.text(path).withColumnRenamed("value", "document")
+    return documents.select(F.get_json_object("document", "$.listener_id").alias("listener_id"), "document")
+
+
+def _replaced_table(spark: SparkSession, sf_dir: str, store: LayerStore) -> DataFrame:
+    """Artists written twice: the second load takes the place of the first."""
+    artists = _bronze(spark, sf_dir).artists
+    store.replace("bronze", "artists", artists.unionByName(artists), schemas.BRONZE["artists"])
+    return store.replace("bronze", "artists", artists, schemas.BRONZE["artists"])
+
+
+_read_back("exported_summary", "year_in_review_extract", _exported_summary)
+_read_back("exported_documents", "year_in_review_documents", _exported_documents)
+_read_back("replaced_bronze_artists", "bronze_artists", _replaced_table)
+for _view in serving.SORT_ORDER:
+    _read_back(
+        f"presented_{_view}", _view,
+        lambda spark, sf_dir, store, view=_view: serving.presented(view, serving.VIEWS[view](event_layers(spark, sf_dir)[2])),
+    )
+
+
 # --- contract ------------------------------------------------------------------------------------------
 
 def entry(spark: SparkSession) -> DataFrame:
