@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.functions import numbers
@@ -46,7 +46,7 @@ def plays_by_age_group(gold: Gold) -> DataFrame:
         .groupBy("age_group")
         .agg(F.sum("plays").alias("streams"))
     )
-    total = gold.fact_streams.agg(F.count("*").alias("n")).scalar()
+    total = F.sum("streams").over(Window.partitionBy())  # over a row per age group
     return grouped.select("age_group", "streams", numbers.percent(F.col("streams"), total).alias("pct"))
 
 
