@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunelake.functions import numbers
+from tunelake.operators.frequent import frequent_keys
 from tunelake.operators.rollups import roll_up
 from tunelake.plans import serving
 from tunelake.plans.bronze import Bronze
@@ -61,13 +62,11 @@ def completion_by_day_type(gold: Gold) -> DataFrame:
 
 
 def top_listener_artists(gold: Gold, limit: int = 10) -> DataFrame:
-    """The (listener, artist) pairs with most plays; ties by ids."""
-    pairs = gold.fact_streams.groupBy("listener_key", "track_key").agg(F.count("*").alias("plays"))
-    per_artist = (
-        pairs.join(gold.dim_track.select("track_key", "artist_key"), "track_key")
-        .groupBy("listener_key", "artist_key")
-        .agg(F.sum("plays").alias("plays"))
+    """The (listener, artist) pairs with most plays; ties by ids. Only pairs that may be among them are counted."""
+    plays = gold.fact_streams.select("listener_key", "track_key").join(
+        gold.dim_track.select("track_key", "artist_key"), "track_key"
     )
+    per_artist = frequent_keys(plays, ["listener_key", "artist_key"], limit, "plays")
     return (
         per_artist.join(gold.dim_listener.select("listener_key", "listener_id", "full_name"), "listener_key")
         .join(gold.dim_artist.select("artist_key", "artist_id", F.col("name").alias("artist")), "artist_key")
