@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tunelake.llm import token_files
+from tunelake.llm import common, token_files
 from tunelake.llm.token_files import Encoder, Shard, key_hashes, perfect_hash
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,9 +37,40 @@ def test_ids_equal_those_of_the_library():
 def test_forgetting_does_not_change_ids(monkeypatch):
     texts = [f"some words {i} and\nmore{i}" for i in range(50)]
     whole = [ids.tolist() for ids in Encoder(PATH).encode(texts)]
-    monkeypatch.setattr(token_files, "REMEMBERED_PIECES", 9)
+    monkeypatch.setattr(common, "REMEMBERED_SPANS", 25)
     encoder = Encoder(PATH)
     assert [i.tolist() for k in range(0, 50, 5) for i in encoder.encode(texts[k:k + 5])] == whole
+    assert 0 < encoder.known.size <= 25
+
+
+def test_plain_pieces_are_cut_as_the_library_cuts():
+    rng = random.Random(5)
+    atoms = ["word", "Été", "ĀšƵɏ", "42", "007", ",", "...", "?!", "\n", "a", "×", "÷", "'", "é", "-", "ß", "\u0250", "٣", "Ⅷ", "…", "。", "´", "ʰ", "ñ", "<|endoftext|>", "\n\n", "\t", "\xa0"]
+    texts = [
+        " ".join("".join(rng.choice(atoms) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 8)))
+        for _ in range(3000)
+    ]
+    encoder = Encoder(PATH)
+    whole = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == whole
+
+
+def test_spaces_beside_other_white_space_are_no_cuts():
+    spaces = ["\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", "\x1c", "\t", " ", "\r\n"]
+    others = ["é", "\u200b", "\u2060", "\ufeff", "Ａ", "x", "\u30a0", "Â", "à", "\u0320"]
+    rng = random.Random(6)
+    texts = ["".join(rng.choice([*spaces, *others, " ", " "]) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    encoder = Encoder(PATH)
+    whole = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert [i.tolist() for k in range(0, 4000, 500) for i in encoder.encode(texts[k:k + 500])] == whole
+
+
+def test_unspaced_texts_are_not_remembered():
+    texts = ["".join(chr(97 + (i * k) % 26) for i in range(5000)) for k in range(1, 20)]
+    encoder = Encoder(PATH)
+    whole = [e.ids for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == whole
+    assert encoder.known.size == 0
 
 
 def _expected(rows):

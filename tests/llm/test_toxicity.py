@@ -2,9 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from tunelake.llm import queries, toxicity
+from tunelake.llm import common, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -44,10 +45,65 @@ def test_extreme_rate_solves_its_equation():
 
 def test_prior_holds_rare_features_back():
     corpus = np.array([5000.0, 3.0, 60.0, 0.0, 5000.0])
-    odds = toxicity.cautious_odds(corpus, np.array([500.0, 1, 50, 0, 480]), np.array([4500.0, 0, 0, 0, 4520]))
+    toxic, clean = np.array([500.0, 1, 50, 0, 480]), np.array([4500.0, 0, 0, 0, 4520])
+    odds = toxicity.cautious_odds(corpus, toxic, clean, (corpus.sum(), toxic.sum(), clean.sum()), 5)
     assert odds[2] > 3 and 0 <= odds[1] < toxicity.DRIFT and odds[3] == 0 and abs(odds[0]) < 0.5
 
 
+def test_features_and_scores_of_tokens():
+    pieces = ["Nasty,", "nasty", "...", "a", "nastyness", "日本語の本", "aaaaaaa", "😀" * 300, "x" * 5000]
+    number, bucket = toxicity.token_features(toxicity._words(pieces))
+    by = {k: set(bucket[number == k].tolist()) for k in range(len(pieces))}
+    assert by[0] == by[1] and not by[2] and len(by[3]) == 1
+    assert len(by[1] & by[4]) == 2  # ^nast and nasty
+    assert [len(by[k]) for k in (1, 6)] == [4, 4]  # the word, and its different grams
+    scores = np.arange(toxicity.BUCKETS, dtype=np.float32)
+    wanted = [max(by[k], default=0) - toxicity.DRIFT for k in range(len(pieces))]
+    assert toxicity.token_scores(pieces, scores).tolist() == wanted
+    assert toxicity.token_scores([], scores).tolist() == []
+
+
+@pytest.mark.parametrize("most", [0, 3, 100])
+def test_counts_equal_plain_counts(monkeypatch, most):
+    texts = ["a b a nasty", None, "", "b b c", "nasty nasty words", "c"]
+    monkeypatch.setattr(common, "CHUNK_CHARS", 5)
+    monkeypatch.setattr(common, "REMEMBERED_SPANS", most)
+    batch = pd.DataFrame({"text": texts, "toxic": pd.array([1, 1, 0, None, 0, None], "Int64")})
+    [found] = toxicity._counted([batch])
+    plain = {}
+    for text, toxic in zip(texts, [1, 1, 0, None, 0, None], strict=True):
+        for token in set((text or "").split()):
+            for own in toxicity.token_features([token])[1].tolist():
+                line = plain.setdefault(own, [0, 0, 0])
+                line[0] += 1
+                if toxic is not None:
+                    line[1 if toxic else 2] += 1
+    assert {row[0]: list(row[1:]) for row in found.itertuples(index=False)} == plain
+
+
+def test_probability_is_recomputed_plainly():
+    model = toxicity.Model(np.zeros(toxicity.BUCKETS, np.float32), rate=0.7, volume=0.2, weights=np.array([-3.0, 1.1, 0.4]))
+    scores = np.array([-1.0, 6.0, -0.5, 4.0, -9.0, 1.0, -1.0])
+    found = model.passages(scores)
+    assert [(a, b) for a, b, *_ in found] == [(1, 4), (5, 6)]
+    expected = [0.2 * 7 * np.exp(-0.7 * s) for s in (9.5, 1.0)]
+    assert [e for *_, e in found] == pytest.approx(expected)
+    best, strong = -np.log(expected[0]), sum(-np.log(e) for e in expected if e < toxicity.SIGNIFICANT)
+    wanted = 1 / (1 + np.exp(-(-3.0 + 1.1 * best + 0.4 * np.log1p(strong))))
+    assert model.probability(model.evidence(found)) == pytest.approx(wanted)
+    assert model.evidence([]) == (-5.0, 0.0)
+
+
+def test_logistic_regression_is_the_optimum():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 2))
+    truth = (x @ [1.5, -1.0] + rng.normal(size=300) > 0.3).astype(float)
+    w = toxicity.logistic(x, truth)
+    full = np.column_stack([np.ones(300), x])
+    slope = full.T @ (1 / (1 + np.exp(-full @ w)) - truth) + np.diag([0, 0.03, 0.03]) @ w
+    assert np.abs(slope).max() < 1e-5
+
+
 def _auc(score, truth):
     order = np.argsort(np.argsort(score)) + 1
     positive = truth.sum()
@@ -101,6 +157,15 @@ def test_passages_and_defined_results(spark):
     assert got[903].passages[0].first_token == 40000
 
 
+def test_hot_ids_and_long_texts_do_not_reach_the_driver(spark):
+    docs, labels = _small()
+    hot = [(4, "plain " * 3000 + "awful nasty awful", None, None)] * 200
+    given = spark.createDataFrame(docs + hot, DOCS).repartition(6)
+    model = toxicity.learn(given, spark.createDataFrame(labels, LABELS))
+    found = toxicity.scored(given, model).where("doc_id = 4").select("score").collect()
+    assert len(found) == 201 and all(row.score > 0.7 for row in found)
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None, None)], DOCS)
     model = toxicity.learn(docs, spark.createDataFrame([(1, 0, None)], LABELS))

@@ -7,16 +7,21 @@ one to four words is one shingle of all its words, and a text without words has
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.session import shared_folder
 
 SHINGLE_WORDS = 5
-#: A worker remembers the first so many different words it meets (about 100 MB), most frequent words among them.
-REMEMBERED_WORDS = 500_000
+#: Spans of text that a worker remembers (24 bytes each and what is known of them), and none that is longer.
+REMEMBERED_SPANS = 1_000_000
+REMEMBERED_BYTES = 64
+#: Texts are cut into pieces for about so many characters at once.
+CHUNK_CHARS = 1_000_000
 
 
 def work_folder(spark, name: str) -> str:
@@ -51,28 +56,28 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
+_BASES = (0x9E3779B97F4A7C55, 0xD1342543DE82EF95)  # odd, so that they have inverses modulo 2**64
 #: Bytes hashed at once, but for a word that is longer.
 _BLOCK_BYTES = 1 << 20
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_powers = {base: [np.ones(1, np.uint64), np.ones(1, np.uint64)] for base in _BASES}
 
 
-def _powers_to(size: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_powers[0]) < size:
+def _powers_to(size: int, base: int) -> list[np.ndarray]:
+    """Powers of a base and of its inverse modulo 2**64."""
+    held = _powers[base]
+    if len(held[0]) < size:
         size = max(size, 1 << 16)
-        for place, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            factors = np.full(size, base, np.uint64)
+        for place, factor in enumerate((base, pow(base, -1, 1 << 64))):
+            factors = np.full(size, factor, np.uint64)
             factors[0] = 1
             with np.errstate(over="ignore"):
-                _powers[place] = np.multiply.accumulate(factors)
-    return _powers
+                held[place] = np.multiply.accumulate(factors)
+    return held
 
 
-def _block_hashes(data: np.ndarray) -> np.ndarray:
-    edges = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    up, down = _powers_to(len(data) + 1)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASES[0]) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span, a polynomial from running sums over all bytes."""
+    up, down = _powers_to(len(data) + 1, base)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
@@ -80,6 +85,25 @@ def _block_hashes(data: np.ndarray) -> np.ndarray:
     return mixed(codes ^ (ends - starts).astype(np.uint64))
 
 
+def twofold_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each span of bytes, some spans at a time; spans follow one another."""
+    hashes = np.empty((2, len(starts)), np.uint64)
+    first = 0
+    while first < len(starts):
+        behind = max(first + 1, int(np.searchsorted(ends, starts[first] + _BLOCK_BYTES, side="right")))
+        own, offset = slice(first, behind), starts[first]
+        block = data[offset:ends[behind - 1]]
+        for row, base in enumerate(_BASES):
+            hashes[row, own] = span_hashes(block, starts[own] - offset, ends[own] - offset, base)
+        first = behind
+    return hashes[0], hashes[1]
+
+
+def _block_hashes(data: np.ndarray) -> np.ndarray:
+    edges = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+    return span_hashes(data, edges[::2], edges[1::2])
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """A 64-bit hash of every word, in order: a polynomial of its bytes, from running sums over the text."""
     if not text:
@@ -96,13 +120,145 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.concatenate(parts)
 
 
-class Places(dict):
-    """Places of remembered pieces; those of pieces met once are asked in ``rare``."""
-
-    rare: dict[str, int] = {}
-
-    def __missing__(self, piece: str) -> int:
-        return self.rare[piece]
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The different values in order; sorting is many times as fast as hashing them."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+
+
+_held: list = [None, None]
+
+
+def worker_state(key: str, make: Callable):
+    """What a Python worker keeps from task to task: one thing only, so that operators do not add up."""
+    if _held[0] != key:
+        _held[:] = [None, None]
+        _held[:] = [key, make()]
+    return _held[1]
+
+
+class _Table:
+    """Places by two hashes of 64 bits, in the order of the first."""
+
+    def __init__(self, first: np.ndarray, second: np.ndarray, places: np.ndarray):
+        self.columns = first, second, places
+
+    def find(self, first: np.ndarray, second: np.ndarray, found: np.ndarray) -> None:
+        keys, others, places = self.columns
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, first), len(keys) - 1)
+            hit = (keys[at] == first) & (others[at] == second)
+            found[hit] = places[at[hit]]
+
+    def joined(self, other: _Table) -> _Table:
+        at = np.searchsorted(self.columns[0], other.columns[0])
+        return _Table(*(np.insert(mine, at, more) for mine, more in zip(self.columns, other.columns, strict=True)))
+
+
+class SpanPlaces:
+    """Places of spans of bytes, told apart by 128 bits of hashes; those of short spans are remembered.
+
+    New spans are looked up in a large sorted table and a small one that joins it now and then.
+    """
+
+    def __init__(self):
+        self.size = 0
+        none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.large, self.small = _Table(*none), _Table(*none)
+
+    def of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, add: Callable[[list[bytes], bool], int]) -> np.ndarray:
+        """The place of each span.
+
+        ``add(spans, keep)`` puts different new spans at successive places and returns the first; places that are
+        not to be kept may be given away again by the next call with ``keep``.
+        """
+        first, second = twofold_hashes(data, starts, ends)
+        places = np.full(len(starts), -1, np.int64)
+        self.large.find(first, second, places)
+        self.small.find(first, second, places)
+        missed = np.flatnonzero(places < 0)
+        if not len(missed):
+            return places
+        short = ends[missed] - starts[missed] <= REMEMBERED_BYTES
+        groups = []
+        for own in (missed[short], missed[~short]):
+            order = own[np.lexsort((second[own], first[own]))]
+            apart = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+            groups.append((order, np.concatenate([[0], np.cumsum(apart)]) if len(order) else order))
+        keep = self.size + sum(int(number[-1]) + 1 for _, number in groups[:1] if len(number)) <= REMEMBERED_SPANS
+        added = []
+        for remembered, (order, number) in zip((keep, False), groups, strict=True):
+            head = order[np.concatenate([[True], np.diff(number) != 0])] if len(order) else order
+            added.append((order, number, head, remembered))
+        if not keep:  # both at once, or the second would stand where the first does
+            heads = np.concatenate([head for *_, head, _ in added])
+            begin = add(self._spans(data, starts, ends, heads), False)
+            for order, number, head, _ in added:
+                places[order] = begin + number
+                begin += len(head)
+            return places
+        for order, number, head, remembered in added:
+            if len(order):
+                begin = add(self._spans(data, starts, ends, head), remembered)
+                places[order] = begin + number
+                if remembered:
+                    self._remember(first[head], second[head], begin + np.arange(len(head)))
+        return places
+
+    @staticmethod
+    def _spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> list[bytes]:
+        return [data[a:b].tobytes() for a, b in zip(starts[chosen].tolist(), ends[chosen].tolist(), strict=True)]
+
+    def _remember(self, first: np.ndarray, second: np.ndarray, places: np.ndarray) -> None:
+        self.size += len(first)
+        self.small = self.small.joined(_Table(first, second, places))
+        if len(self.small.columns[0]) > 20_000 + len(self.large.columns[0]) // 4:
+            self.large = self.large.joined(self.small)
+            self.small = _Table(*(column[:0] for column in self.small.columns))
+
+
+def pieces_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of the texts one after the other, start and end of each run without ASCII white space, and the bounds
+    of each text's runs among them."""
+    encoded = [text.encode("utf-8", "replace") if text else b"" for text in texts]
+    # A line feed behind each text parts its last run from the next text's first.
+    data = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
+    edges = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+    sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) + 1
+    return data, edges[::2], edges[1::2], np.searchsorted(edges[::2], np.concatenate([[0], np.cumsum(sizes)]))
+
+
+class Rows:
+    """A growing table of numbers; rows behind the kept ones are written over by the next."""
+
+    def __init__(self, width: int, dtype=np.float32):
+        self.held, self.size = np.empty((1024, width), dtype), 0
+
+    def add(self, rows: np.ndarray, keep: bool) -> int:
+        """Places rows behind the kept ones, and returns where the first one stands."""
+        begin, needed = self.size, self.size + len(rows)
+        if needed > len(self.held):
+            larger = np.empty((max(needed, 2 * self.size), self.held.shape[1]), self.held.dtype)
+            larger[:begin] = self.held[:begin]
+            self.held = larger
+        self.held[begin:needed] = rows
+        if keep:
+            self.size = needed
+        return begin
+
+
+def text_chunks(texts: list[str | None], chars: int | None = None) -> Iterator[list[str | None]]:
+    """Texts in order, about ``CHUNK_CHARS`` characters at once, or one text."""
+    most = CHUNK_CHARS if chars is None else chars
+    part, held = [], 0
+    for text in texts:
+        part.append(text)
+        held += len(text) if text else 0
+        if held >= most:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
 
 
 def sequence_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -133,3 +289,59 @@ def weighted_jaccard(first: np.ndarray, second: np.ndarray) -> float:
     _, in_a, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     shared = int(np.minimum(times_a[in_a], times_b[in_b]).sum())
     return shared / (len(first) + len(second) - shared)
+
+
+class Best:
+    """The best ``count`` scores of each slot, ties to the smaller id."""
+
+    def __init__(self, slots: int, count: int, dtype=np.int64):
+        self.count = count
+        self.scores, self.ids = np.zeros((slots, count), dtype), np.zeros((slots, count), np.int64)
+        self.held = np.zeros(slots, np.int64)
+        self.worst = np.full(slots, -np.inf)  # a score below this one is of no use
+
+    def add(self, slots: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        if not len(slots):
+            return
+        touched = np.unique(slots)
+        row, place = np.nonzero(self.held[touched][:, None] > np.arange(self.count)[None, :])
+        old = touched[row]
+        slots = np.concatenate([old, slots])
+        scores = np.concatenate([self.scores[old, place], scores])
+        ids = np.concatenate([self.ids[old, place], ids])
+        order = np.lexsort((ids, -scores, slots))
+        slots, scores, ids = slots[order], scores[order], ids[order]
+        first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+        sizes = np.diff(np.append(first, len(slots)))
+        rank = np.arange(len(slots)) - np.repeat(first, sizes)
+        kept = rank < self.count
+        self.scores[slots[kept], rank[kept]] = scores[kept]
+        self.ids[slots[kept], rank[kept]] = ids[kept]
+        self.held[touched] = np.minimum(sizes, self.count)
+        full = touched[sizes >= self.count]
+        self.worst[full] = self.scores[full, -1]
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Slots, scores and ids, all that is held."""
+        slot, place = np.nonzero(self.held[:, None] > np.arange(self.count)[None, :])
+        return slot, self.scores[slot, place], self.ids[slot, place]
+
+
+#: Components of the vectors that a task gathers before it works on them.
+CHUNK_NUMBERS = 4_000_000
+
+
+def vector_chunks(batches: Iterable[pd.DataFrame], most: int) -> Iterator[tuple[int, pd.DataFrame]]:
+    """Rows with a ``vector`` by its size, about ``most`` rows or ``CHUNK_NUMBERS`` components at a time."""
+    held: dict[int, list] = {}
+    for batch in batches:
+        for size, own in batch.groupby(batch["vector"].map(len), sort=False):
+            parts = held.setdefault(size, [])
+            parts.append(own)
+            rows = sum(map(len, parts))
+            if rows >= most or rows * size >= CHUNK_NUMBERS:
+                yield size, pd.concat(parts)
+                held[size] = []
+    for size, parts in held.items():
+        if parts:
+            yield size, pd.concat(parts)

@@ -27,7 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import SHINGLE_WORDS, mixed, sequence_hashes, shingle_hashes, weighted_jaccard, word_hashes
+from tunelake.llm.common import (
+    SHINGLE_WORDS, distinct, mixed, sequence_hashes, shingle_hashes, weighted_jaccard, word_hashes, worker_state,
+)
 
 SIMILARITY = 0.8
 #: At a weighted similarity of 0.8 fingerprints differ by 9.7 bits on average, with a deviation of 2.9.
@@ -87,7 +89,7 @@ class MultiIndex:
             places = np.repeat(np.arange(len(prints)), counts)
             offsets = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             found.append(places * len(self.prints) + members[starts[values][places] + offsets])
-        both = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+        both = distinct(np.concatenate(found)) if found else np.empty(0, np.int64)
         places, items = np.divmod(both, max(1, len(self.prints)))
         distance = _BIT_COUNTS[prints[places] ^ self.prints[items]].sum(axis=1)
         near = distance <= self.radius
@@ -106,11 +108,11 @@ class Benchmark:
                 by_size.setdefault(len(words), []).append((item_id, shingle_hashes(words)))
         self.sizes = {}
         for size, members in by_size.items():
-            shingles = np.unique(np.concatenate([own for _, own in members]))
+            shingles = distinct(np.concatenate([own for _, own in members]))
             prints = fingerprints(np.stack([signs(own).sum(axis=0) for _, own in members]))
             self.sizes[size] = (members, shingles, MultiIndex(prints, radius))
         kept = [shingles for size, (_, shingles, _) in self.sizes.items() if size >= SHINGLE_WORDS]
-        self.shingles = np.unique(np.concatenate(kept)) if kept else np.empty(0, np.uint64)
+        self.shingles = distinct(np.concatenate(kept)) if kept else np.empty(0, np.uint64)
         # Most shingles of a document are in no item: a table by the first bits of their hash rules them out.
         self.rough = np.zeros(1 << _ROUGH_BITS, bool)
         self.rough[(self.shingles >> _ROUGH_SHIFT).astype(np.int64)] = True
@@ -165,16 +167,10 @@ class Benchmark:
                         best[item_id] = (value, start, size)
 
 
-_indexes: dict[str, Benchmark] = {}
-
-
 def _index(shared, radius: int, threshold: float) -> Benchmark:
     """The index of a broadcast list of items; a worker serves many tasks and builds it once."""
-    key = f"{shared._path}-{radius}-{threshold}"
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = Benchmark(shared.value, radius, threshold)
-    return _indexes[key]
+    key = f"benchmark {shared._path}-{radius}-{threshold}"
+    return worker_state(key, lambda: Benchmark(shared.value, radius, threshold))
 
 
 def _passes(items: DataFrame) -> int:

@@ -34,12 +34,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import written
+from tunelake.llm.common import Best, vector_chunks, written
 
 #: Components of the anchors of a round.
 ROUND_NUMBERS = 4_000_000
-#: Components of the rows that a task holds, and rows.
-CHUNK_NUMBERS, CHUNK_ROWS = 4_000_000, 16_384
+#: Rows that a task holds at most, for each vector size.
+CHUNK_ROWS = 16_384
 #: Members of a cluster that walk together, and rows that they take at first and at most.
 WALKING, FIRST_STEP, MOST_STEP = 256, 128, 2048
 _LIMIT = 2**63 - 1
@@ -111,42 +111,6 @@ def products(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 # --- the walk -------------------------------------------------------------------------------------------
 
-class Best:
-    """The best ``count`` scores of each slot, ties to the smaller id."""
-
-    def __init__(self, slots: int, count: int):
-        self.count = count
-        self.scores, self.ids = np.zeros((slots, count), np.int64), np.zeros((slots, count), np.int64)
-        self.held = np.zeros(slots, np.int64)
-        self.worst = np.full(slots, -np.inf)  # a score below this one is of no use
-
-    def add(self, slots: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        if not len(slots):
-            return
-        touched = np.unique(slots)
-        row, place = np.nonzero(self.held[touched][:, None] > np.arange(self.count)[None, :])
-        old = touched[row]
-        slots = np.concatenate([old, slots])
-        scores = np.concatenate([self.scores[old, place], scores])
-        ids = np.concatenate([self.ids[old, place], ids])
-        order = np.lexsort((ids, -scores, slots))
-        slots, scores, ids = slots[order], scores[order], ids[order]
-        first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
-        sizes = np.diff(np.append(first, len(slots)))
-        rank = np.arange(len(slots)) - np.repeat(first, sizes)
-        kept = rank < self.count
-        self.scores[slots[kept], rank[kept]] = scores[kept]
-        self.ids[slots[kept], rank[kept]] = ids[kept]
-        self.held[touched] = np.minimum(sizes, self.count)
-        full = touched[sizes >= self.count]
-        self.worst[full] = self.scores[full, -1]
-
-    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Slots, scores and ids, all that is held."""
-        slot, place = np.nonzero(self.held[:, None] > np.arange(self.count)[None, :])
-        return slot, self.scores[slot, place], self.ids[slot, place]
-
-
 class Positives:
     """The best other rows of an anchor's label."""
 
@@ -247,26 +211,10 @@ def walk(kept: Positives | Negatives, ids: np.ndarray, labels: np.ndarray, vecto
 
 # --- tasks ----------------------------------------------------------------------------------------------
 
-def _chunks(batches):
-    """Rows of one vector size, some at a time: ids, labels and vectors."""
-    held: dict[int, list] = {}
-    for batch in batches:
-        for size, own in batch.groupby(batch["vector"].map(len), sort=False):
-            parts = held.setdefault(size, [])
-            parts.append(own)
-            rows = sum(map(len, parts))
-            if rows >= CHUNK_ROWS or rows * size >= CHUNK_NUMBERS:
-                yield size, pd.concat(parts)
-                held[size] = []
-    for size, parts in held.items():
-        if parts:
-            yield size, pd.concat(parts)
-
-
 def _walked(broadcast, collector):
     def walked(batches):
         given, kept = broadcast.value, {}
-        for size, rows in _chunks(batches):
+        for size, rows in vector_chunks(batches, CHUNK_ROWS):
             if size not in given:
                 continue
             if size not in kept:

@@ -24,7 +24,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tunelake.llm.common import Places, mixed, work_folder, written
+from tunelake.llm.common import Rows, SpanPlaces, distinct, mixed, text_chunks, work_folder, worker_state, written
 
 MAGIC = b"TLIDS001"
 END_ID = 0
@@ -41,9 +41,6 @@ END_ID = 0
 SHARD_IDS = 32_000_000
 SHARD_DOCS = 200_000
 KEYS_PER_BUCKET = 4
-#: A worker remembers the first so many different pieces it meets, and encodes about so many characters at once.
-REMEMBERED_PIECES = 400_000
-CHUNK_CHARS = 4_000_000
 _SLOT = np.dtype([("fingerprint", "<u4"), ("start", "<u8"), ("count", "<u8")])
 _NO_ID = -(2**63)
 
@@ -169,18 +166,56 @@ class _Writer:
 
 # --- encoding -------------------------------------------------------------------------------------------
 
-#: Between these the byte-level tokenizer never joins: a space that stands alone between two other characters.
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Bytes of ASCII white space, and others that some call so.
+_WHITE = np.zeros(256, bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True
+#: The UTF-8 bytes of white space beyond ASCII.
+_WIDE_WHITE = [chr(code).encode() for code in (
+    0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+)]
 _NO_SPACE_INSIDE = re.compile(r" ?\S+")
-_JOINED = 1024
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[list(b".,;:!?")] = True
+#: What goes to the library's model as it is: a run of one kind, with or without the space before it, or a line feed.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(f" ?(?:[{_LETTERS}]++|[0-9]++|[.,;:!?]++)|\n")
+_JOINED = 64
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte: itself where it is printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte if byte in shown else 256 + hidden.index(byte)) for byte in range(256)}
+
+
+class _Pieces:
+    """Ids by place, one piece after the other; those behind the kept ones are written over by the next."""
+
+    def __init__(self):
+        self.ids, self.bounds = Rows(1, np.uint32), Rows(2, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray, keep: bool) -> int:
+        first = self.ids.add(ids[:, None], keep)
+        ends = first + np.cumsum(sizes)
+        return self.bounds.add(np.column_stack([ends - sizes, ends]), keep)
+
+    def joined(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces at ``places`` one after the other, and how many each has."""
+        bounds = self.bounds.held[places]
+        counts = bounds[:, 1] - bounds[:, 0]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids.held[np.arange(total) + np.repeat(bounds[:, 0] - (ends - counts), counts), 0], counts
 
 
 class Encoder:
     """Encodes whole texts with a byte-level tokenizer, remembering the pieces it has met.
 
-    Such a tokenizer first cuts a text; a single space between two characters that are no white space always
-    begins a new cut. The text is cut there, each different piece is encoded by the library once, and the ids are
-    put together again.
+    Such a tokenizer first cuts a text, and at some places always. The text is cut there, each different piece (told apart by 128 bits of hashes) is encoded by the
+    library once, and the ids are put together again. Pieces of one kind of characters go to the library's model as
+    they are, others through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -193,104 +228,116 @@ class Encoder:
         self.cuts = cutter.get("type") == "ByteLevel" and not cutter.get("add_prefix_space") and (
             cutter.get("use_regex", True) and not settings.get("normalizer")
         ) and not any(token["lstrip"] or token["rstrip"] or " " in token["content"] for token in settings["added_tokens"])
+        # Tokens of their own are found anywhere in a text: none may hold a cut, or stand in a plain piece.
+        own = [token["content"] for token in settings["added_tokens"]]
+        self.plain = self.cuts and not any(
+            set(content) & set(".,;:!?\n") or re.fullmatch(f"[{_LETTERS}0-9]*", content) for content in own
+        )
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        #: Places of the pieces met, those that begin a text and those behind a space; the ids of piece ``k`` are
-        #: those from ``bounds[k]`` to ``bounds[k + 1]``.
-        self.heads: dict[str, int] = {}
-        self.tails = Places()
-        self.ids, self.bounds = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        #: The pieces met: those behind a space with it, those that begin a text without.
+        self.known, self.pieces = SpanPlaces(), _Pieces()
+        self.characters = _byte_characters()
         feed = self._ids(["\n"])[0]
         self.feed = feed[0] if self.cuts and len(feed) == 1 else None
 
-    def _cut(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
-        """Each text in its pieces, and all pieces that are not remembered.
-
-        A piece that white space starts or ends shows where a cut was not safe.
-        """
-        if not self.cuts:
-            cut = [[text] if text else [] for text in texts]
-            return cut, set().union(*cut)
-        cut = [text.split(" ") if text else [] for text in texts]
-        new = set().union(*cut).difference(self.tails)
-        unsafe = {piece for piece in new if not piece or piece[0].isspace() or piece[-1].isspace()}
-        if unsafe:
-            cut = [own if unsafe.isdisjoint(own) else _BETWEEN.split(text) for text, own in zip(texts, cut, strict=True)]
-            new = set().union(*cut).difference(self.tails)
-        return cut, new
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces one after the other, and how many each has.
-
-        Pieces without white space inside are encoded many at a time with line feeds between them, which are cut
-        off as tokens of their own and stand nowhere else.
+        """The ids of all pieces one after the other, and how many each has."""
+        ids: list[list[int]] = [[]] * len(pieces)
+        plain = [place for place, piece in enumerate(pieces) if _PLAIN.fullmatch(piece)] if self.plain else []
+        if plain:  # a zero byte stands in no plain piece
+            shown = "\0".join([pieces[place] for place in plain]).encode().decode("latin-1").translate(self.characters)
+            tokenize = self.tokenizer.model.tokenize
+            for place, piece in zip(plain, shown.split(self.characters[0]), strict=True):
+                ids[place] = [token.id for token in tokenize(piece)]
+        modelled = set(plain)
+        self._other(pieces, [place for place in range(len(pieces)) if place not in modelled], ids)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def _other(self, pieces: list[str], places: list[int], ids: list[list[int]]) -> None:
+        """Encodes pieces by the whole tokenizer.
+
+        Those without white space inside go many at a time with line feeds between them, which are cut off as tokens
+        of their own and stand nowhere else.
         """
-        all_ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        for begin in range(0, len(pieces), _JOINED):
-            part = pieces[begin:begin + _JOINED]
-            if self.feed is not None and all(map(_NO_SPACE_INSIDE.fullmatch, part)):
-                ids = np.array(self._ids(["\n".join(part)])[0], np.uint32)
-                feeds = np.flatnonzero(ids == self.feed)
-                if len(feeds) == len(part) - 1:
-                    all_ids.append(np.delete(ids, feeds))
-                    sizes.append(np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1)
-                    continue
-            for own in self._ids(part):
-                all_ids.append(np.array(own, np.uint32))
-                sizes.append(np.array([len(own)]))
-        return np.concatenate(all_ids), np.concatenate(sizes)
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        spaced = [place for place in places if not _NO_SPACE_INSIDE.fullmatch(pieces[place])]
+        joined = [place for place in places if _NO_SPACE_INSIDE.fullmatch(pieces[place])] if self.feed is not None else []
+        spaced = spaced if joined else places
+        for begin in range(0, len(joined), _JOINED):
+            part = joined[begin:begin + _JOINED]
+            found = np.array(self._ids(["\n".join(pieces[place] for place in part)])[0], np.uint32)
+            feeds = np.flatnonzero(found == self.feed)
+            if len(feeds) != len(part) - 1:
+                spaced = [*spaced, *part]
+                continue
+            for place, first, behind in zip(part, [0, *(feeds + 1)], [*feeds, len(found)], strict=True):
+                ids[place] = found[first:behind].tolist()
+        for begin in range(0, len(spaced), _JOINED):
+            part = spaced[begin:begin + _JOINED]
+            for place, own in zip(part, self._ids([pieces[place] for place in part]), strict=True):
+                ids[place] = own
+
+    def _cuts(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Where pieces start in texts that stand one after the other: at each text, and where the tokenizer always cuts.
+
+        That is before a single space, and on both sides of a single line feed, between two characters that are no
+        white space; and between a Latin letter and a mark of ``.,;:!?`` on either side.
+        """
+        if not self.cuts:
+            return begins
+        inside = np.ones(len(data) + 1, bool)
+        inside[begins] = False  # nor may a text end behind the space
+        single = np.flatnonzero((data == 32) | (data == 10))
+        single = single[(single > 0) & (single < len(data) - 1)]
+        before, behind = data[single - 1], data[single + 1 if len(single) else single]
+        safe = inside[single] & inside[single + 1] & ~_WHITE[before] & ~_WHITE[behind]
+        wide = np.flatnonzero(safe & ((before >= 128) | (behind >= 0xC2)))
+        for white in _WIDE_WHITE if len(wide) else ():
+            size = len(white)
+            for first in (single[wide] - size, single[wide] + 1):
+                fits = (first >= 0) & (first + size <= len(data))
+                at, equal = np.where(fits, first, 0), fits
+                for place, byte in enumerate(white):
+                    equal = equal & (data[np.minimum(at + place, len(data) - 1)] == byte)
+                safe[wide[equal]] = False
+        cuts = [begins, single[safe], single[safe & (data[single] == 10)] + 1]
+        if self.plain:
+            mark = _MARK[data]
+            # Before a mark stands an ASCII letter, or the last byte of a letter from U+00C0 to U+024F.
+            edge = np.flatnonzero(mark[1:] & ~mark[:-1]) + 1
+            last, lead = data[edge - 1], data[np.maximum(edge - 2, 0)]
+            wide_letter = (last & 0xC0 == 0x80) & (
+                (lead == 0xC3) & (last != 0x97) & (last != 0xB7) | (lead >= 0xC4) & (lead <= 0xC8)
+                | (lead == 0xC9) & (last <= 0x8F)
+            )
+            cuts += [edge[_LETTER[last] | wide_letter], np.flatnonzero(mark[:-1] & _LETTER[data[1:]]) + 1]
+        return distinct(np.concatenate(cuts))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        cut, new = self._cut(texts)
-        # The first piece of a text stands without the space that begins all others.
-        # Those with white space inside come last, and so do not keep others from being encoded together.
-        new_heads = list({own[0] for own in cut if own}.difference(self.heads))
-        spaced = [piece for piece in new if not _NO_SPACE_INSIDE.fullmatch(piece)]
-        new_tails = [*new.difference(spaced), *spaced]
-        wanted = [*new_heads, *(" " + piece for piece in new_tails)]
-        encoded, sizes = self._encoded(wanted)
-        first = len(self.bounds) - 1
-        ids = np.concatenate([self.ids, encoded])
-        bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
-        heads = dict(zip(new_heads, range(first, first + len(new_heads)), strict=True))
-        tails = dict(zip(new_tails, range(first + len(new_heads), first + len(wanted)), strict=True))
-        safe = not any(piece[-1:].isspace() for piece in new_tails)
-        if safe and len(bounds) <= REMEMBERED_PIECES:
-            self.heads.update(heads)
-            self.tails.update(tails)
-            self.ids, self.bounds = ids, bounds
-        self.tails.rare = tails
-        out = []
-        for own in cut:
-            if not own:
-                out.append(np.empty(0, np.uint32))
-                continue
-            head = self.heads[own[0]] if own[0] in self.heads else heads[own[0]]
-            at = np.fromiter(map(self.tails.__getitem__, own[1:]), np.int64, len(own) - 1)
-            at = np.concatenate([[head], at])
-            counts = bounds[at + 1] - bounds[at]
-            ends = np.cumsum(counts)
-            out.append(ids[np.arange(ends[-1]) + np.repeat(bounds[at] - (ends - counts), counts)])
-        return out
+        encoded = [text.encode() for text in texts]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        data = np.frombuffer(b"".join(encoded), np.uint8)
+        if not len(data):
+            return [np.empty(0, np.uint32)] * len(texts)
+        starts = self._cuts(data, offsets[:-1][sizes > 0])
+        ends = np.append(starts[1:], len(data))
 
+        def add(pieces: list[bytes], keep: bool) -> int:
+            return self.pieces.add(*self._encoded([piece.decode() for piece in pieces]), keep)
 
-_encoders: dict[str, Encoder] = {}
+        places = self.known.of(data, starts, ends, add)
+        ids, counts = self.pieces.joined(places)
+        bounds = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, offsets)]
+        return [ids[bounds[k]:bounds[k + 1]] for k in range(len(texts))]
 
 
 def _encoder(path: str) -> Encoder:
-    if path not in _encoders:  # a worker serves many tasks
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
-def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Parts of about ``CHUNK_CHARS`` characters, or of one text."""
-    number = batch["text"].str.len().cumsum() // CHUNK_CHARS
-    for _, chunk in batch.groupby(number.to_numpy(), sort=False):
-        yield chunk
+    return worker_state(f"encoder {path}", lambda: Encoder(path))
 
 
 def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
@@ -323,10 +370,10 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
             })
 
         for batch in batches:
-            for chunk in _chunks(batch):
-                for doc_id, part, ids in zip(
-                    chunk["doc_id"], chunk["part"], encoder.encode(chunk["text"].tolist()), strict=True
-                ):
+            rows = zip(batch["doc_id"], batch["part"], strict=True)
+            for texts in text_chunks(batch["text"].tolist()):
+                for ids in encoder.encode(texts):
+                    doc_id, part = next(rows)
                     key = _NO_ID if pd.isna(doc_id) else int(doc_id)
                     occurrence = occurrence + 1 if key == last else 0
                     last = key
