@@ -34,8 +34,7 @@ LEAST_PROBABLE = 0.3
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     network = language_id.learnt_network(docs)
-    row = docs.select(F.struct(*docs.columns).alias("given"), F.col("text").alias("text"))
-    found = language_id.identify(row, network)
+    found = language_id.identify(docs.select(F.struct(*docs.columns).alias("given")), network, "given.text")
     kept = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_PROBABLE)
     return found.where(kept).select("given.*")
 
