@@ -109,3 +109,17 @@ def test_full_shards_are_closed(tmp_path, monkeypatch):
     assert writer.full()
     path, total = writer.close()
     assert total == 6 and [Shard(path).ids(i).tolist() for i in range(3)] == [[0], [0, 1], [0, 1, 2]]
+
+
+def test_a_look_up_reads_a_few_bytes(tmp_path):
+    writer, rng = token_files._Writer(str(tmp_path), 2), np.random.default_rng(1)
+    given = {i * 7: rng.integers(0, 50_000, rng.integers(0, 300)).astype(np.uint32) for i in range(900)}
+    for doc_id, ids in given.items():
+        writer.add(doc_id, 0, ids)
+    path, total = writer.close()
+    shard = Shard(path)
+    for doc_id in (0, 7, 6293, 3500):
+        keyed = token_files.KeyedFile(path)
+        assert keyed.ids(doc_id).tolist() == shard.ids(doc_id).tolist() == given[doc_id].tolist()
+        assert keyed.bytes_read == 32 + 4 + 20 + 2 * len(given[doc_id]) < total // 10
+        assert keyed.ids(doc_id + 1) is None and keyed.ids(doc_id, 1) is None and keyed.ids(None) is None

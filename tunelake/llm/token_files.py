@@ -123,6 +123,37 @@ class Shard:
         return None if start[0] < 0 else self.payload[start[0]:start[0] + count[0]]
 
 
+class KeyedFile:
+    """A shard that stays closed: a look-up reads its header, one displacement, one slot and the ids asked for."""
+
+    def __init__(self, path: str):
+        self.files, self.name = fs.FileSystem.from_uri(path)
+        self.bytes_read = 0
+
+    def _read(self, source, at: int, size: int) -> bytes:
+        self.bytes_read += size
+        return source.read_at(size, at)
+
+    def ids(self, doc_id: int | None, occurrence: int = 0) -> np.ndarray | None:
+        """The ids of a key, None where the shard does not hold it."""
+        with self.files.open_input_file(self.name) as source:
+            magic, width, docs, ids = struct.unpack("<8sQQQ", self._read(source, 0, 32))
+            if magic != MAGIC:
+                raise ValueError(f"{self.name} is not a token file")
+            if not docs:
+                return None
+            hashes = key_hashes(np.array([_NO_ID if doc_id is None else doc_id]), np.array([occurrence]))
+            index = 32 + ids * width
+            moved = np.frombuffer(self._read(source, index + 4 * int(_buckets(hashes, docs)[0]), 4), "<u4")
+            slots = index + 4 * max(1, docs // KEYS_PER_BUCKET)
+            at = slots + _SLOT.itemsize * int(_slots(hashes, moved, docs)[0])
+            slot = np.frombuffer(self._read(source, at, _SLOT.itemsize), _SLOT)[0]
+            if slot["fingerprint"] != np.uint32(hashes[0] >> np.uint64(32)):
+                return None
+            found = self._read(source, 32 + int(slot["start"]) * width, int(slot["count"]) * width)
+            return np.frombuffer(found, "<u2" if width == 2 else "<u4")
+
+
 class _Writer:
     """Gathers documents and writes them as shards below a folder."""
 
