@@ -24,11 +24,10 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import written
+from tunelake.llm.common import mixed, span_hashes, text_chunks, written
 from tunelake.llm.components import components
 
 EDITS = 2
@@ -65,18 +64,40 @@ def asked_starts(length: int, other: int, number: int, start: int, edits: int) -
     return range(low, high + 1)
 
 
+def batch_keys(lines: list[str], edits: int = EDITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of lines, the hashes under which they are entered or ask, and which of both.
+
+    All substrings of the lines are hashed from running sums over their characters.
+    """
+    data = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.fromiter(map(len, lines), np.int64, len(lines))
+    begins = np.cumsum(lengths) - lengths
+    numbers, starts, ends, names, roles = [], [], [], [], []
+    for shorter in range(edits + 1):
+        own = np.flatnonzero(lengths - shorter >= SHORT)
+        other = lengths[own] - shorter
+        size, longer = np.divmod(other, edits + 1)
+        for number in range(edits + 1):
+            width = size + (number >= edits + 1 - longer)
+            start = number * size + np.maximum(0, number - (edits + 1 - longer))
+            for at in asked_starts(shorter, 0, number, 0, edits):
+                inside = np.flatnonzero((start + at >= 0) & (start + at + width <= lengths[own]))
+                first = (begins[own] + start + at)[inside]
+                numbers.append(own[inside])
+                starts.append(first)
+                ends.append(first + width[inside])
+                names.append(other[inside] * (edits + 1) + number)
+                roles.append(np.full(len(inside), _INDEXED | _ASKED if shorter == at == 0 else _ASKED, np.int8))
+    numbers, starts, ends, names, roles = (np.concatenate(parts) for parts in (numbers, starts, ends, names, roles))
+    hashes = span_hashes(data, starts, ends) ^ mixed(names.astype(np.uint64))
+    return numbers, mixed(hashes).view(np.int64), roles
+
+
 def line_keys(line: str, edits: int = EDITS) -> dict[int, int]:
     """The hashes under which a line is entered or asks, and which of both."""
     keys: dict[int, int] = {}
-    length = len(line)
-    for other in range(max(SHORT, length - edits), length + 1):
-        for number, (start, size) in enumerate(segments(other, edits)):
-            for at in asked_starts(length, other, number, start, edits):
-                if 0 <= at <= length - size:
-                    text = f"{other} {number} {line[at:at + size]}"
-                    key = xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) - 2**63
-                    own = _INDEXED | _ASKED if other == length and at == start else _ASKED
-                    keys[key] = keys.get(key, 0) | own
+    for _, key, role in zip(*(column.tolist() for column in batch_keys([line], edits)), strict=True):
+        keys[key] = keys.get(key, 0) | role
     return keys
 
 
@@ -140,15 +161,12 @@ def _distance(a: str, b: str) -> int:
 def _keyed(edits: int):
     def keyed(batches):
         for batch in batches:
-            keys, ids, roles = [], [], []
-            for line_id, line in dict(zip(batch["line_id"].tolist(), batch["line"], strict=True)).items():
-                own = line_keys(line, edits)
-                keys += own.keys()
-                ids += [line_id] * len(own)
-                roles += own.values()
-            yield pd.DataFrame({"key": keys, "line_id": ids, "role": roles}).astype(
-                {"key": "int64", "line_id": "int64", "role": "int8"}
-            )
+            different = dict(zip(batch["line_id"].tolist(), batch["line"], strict=True))
+            ids, begin = np.fromiter(different, np.int64, len(different)), 0
+            for lines in text_chunks(list(different.values())):
+                numbers, keys, roles = batch_keys(lines, edits)
+                yield pd.DataFrame({"key": keys, "line_id": ids[begin + numbers], "role": roles})
+                begin += len(lines)
 
     return keyed
 
