@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunelake.llm.common import mixed, shingle_hashes, weighted_jaccard, word_hashes, written
-from tunelake.llm.components import components
+from tunelake.llm.components import components, merged
 
 SIMILARITY = 0.8
 #: At a similarity of 0.8 a pair shares a band with probability 0.9998, at 0.5 with 0.25, at 0.3 with 0.01.
@@ -251,8 +251,7 @@ def near_copies(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         untested = written(likely.join(with_hub, ["a", "b"], "left_anti"), "pairs")
         more = written(links(untested, docs, threshold), "links")
         if not more.isEmpty():
-            found = found.unionByName(more)
-            classes = written(components(found), "classes")
+            classes = written(merged(classes, more), "classes")
         below = least
 
     first_of = described.join(exact, ["low", "high"], "left").select(

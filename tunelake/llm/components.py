@@ -41,3 +41,17 @@ def components(links: DataFrame) -> DataFrame:
     return state.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         state.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
+
+
+def merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes (node, root)`` with further ``links (a, b)``; only the roots they join are gone through again."""
+    def root_of(name: str) -> DataFrame:
+        return classes.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+
+    between = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
+        F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")
+    )
+    joined = components(between)
+    moved = joined.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    changed = classes.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return changed.unionByName(joined.join(classes.select("node"), "node", "left_anti"))
