@@ -137,3 +137,18 @@ def test_a_span_of_months_reads_only_their_folders(gold):
     assert sum(r.streams for r in spring.listener_tracks.collect()) == spring.fact_streams.count()
     with pytest.raises(ValueError):
         gold.between("2025-03-02", "2025-05-31")
+
+
+def test_a_part_of_a_star_obtains_only_the_tables_that_are_used(spark, gold):
+    """Restricting a star must not derive, or write, aggregates that the question does not touch."""
+    class Refusing(gold_plan.GivenGold):
+        def __getattr__(self, name):
+            raise AssertionError(f"{name} is not needed")
+
+    whole = Refusing(fact_streams=gold.fact_streams, dim_track=gold.dim_track, dim_listener=gold.dim_listener)
+    for name in ("agg_daily_listener_streams", "agg_daily_track_streams", "agg_monthly_genre_streams"):
+        vars(whole)[name] = None  # used, they would fail
+    spring = whole.between("2025-03-01", "2025-05-31")
+    assert spring.listener_tracks.count() > 0
+    one = gold.dim_listener.where("listener_id = 'l1'").select("listener_id")
+    assert whole.for_listeners(one).fact_streams.select("listener_key").distinct().count() == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import cached_property
@@ -275,11 +276,16 @@ class Gold:
         """The same star with the plays of some listeners only, for per-listener lookups."""
         listeners = having_key(self.dim_listener, listener_ids, "listener_id")
         by_listener = ("fact_streams", "agg_daily_listener_streams", "listener_tracks")
-        return GivenGold(**{
-            **self.tables(),
-            "dim_listener": listeners,
-            **{name: having_key(getattr(self, name), listeners, "listener_key") for name in by_listener},
-        })
+        return self._changed(
+            dim_listener=lambda star: listeners,
+            **{name: lambda star, n=name: having_key(getattr(self, n), listeners, "listener_key") for name in by_listener},
+        )
+
+    def _changed(self, **changes: Callable[[Gold], DataFrame]) -> Gold:
+        """The star with some tables made anew; each table, new or old, is only obtained on first use."""
+        kept = {name: lambda star, n=name: getattr(self, n) for name in (*schemas.GOLD, "listener_tracks")}
+        members = {name: cached_property(make) for name, make in (kept | changes).items()}
+        return type("ChangedGold", (GivenGold,), members)()
 
     def between(self, first_day: str, last_day: str) -> Gold:
         """The star restricted to a span of days; of a written star only the months concerned are read."""
@@ -291,13 +297,16 @@ class Gold:
                 kept = kept.where(F.col(MONTH_FOLDER).between(first // 100, last // 100))
             return kept
 
-        months = F.col("year") * 100 + F.col("month")
-        whole_months = self.agg_monthly_genre_streams.where(months.between(first // 100, last // 100))
         if not (first_day.endswith("-01") and _is_month_end(last_day)):
             raise ValueError("a span must start and end with a month, as some aggregates are monthly")
-        tables = {**self.tables(), **{name: restricted(getattr(self, name)) for name in BY_MONTH}}
-        pairs = listener_tracks(tables["fact_streams"], self.dim_track)
-        return GivenGold(**{**tables, "agg_monthly_genre_streams": whole_months, "listener_tracks": pairs})
+        months = F.col("year") * 100 + F.col("month")
+        return self._changed(
+            agg_monthly_genre_streams=lambda star: self.agg_monthly_genre_streams.where(
+                months.between(first // 100, last // 100)
+            ),
+            listener_tracks=lambda star: listener_tracks(star.fact_streams, star.dim_track),
+            **{name: lambda star, n=name: restricted(getattr(self, n)) for name in BY_MONTH},
+        )
 
 
 class GivenGold(Gold):
