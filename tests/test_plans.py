@@ -114,3 +114,12 @@ def test_windows_over_everything_see_blocks_only(gold, view):
     for line in plan.splitlines():
         if re.search(r"\bWindow \[", line) and not re.search(r"\], \[\w+#", line):
             assert "_size" in line, line[:300]
+
+
+def test_the_monthly_aggregate_shuffles_plays_by_listener_once(settings, gold):
+    """Pairs of a track and a listener are nearly as many as plays; they are neither grouped nor shuffled."""
+    monthly = gold_plan.agg_monthly_genre_streams(gold.fact_streams, gold.dim_track, gold.dim_date)
+    for line in plan_of(monthly).splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert not ("track_key" in line and "listener_key" in line), line
+    assert plan_of(monthly).count("Exchange hashpartitioning") <= 4
