@@ -123,3 +123,8 @@ def test_the_monthly_aggregate_shuffles_plays_by_listener_once(settings, gold):
         if "Exchange hashpartitioning" in line:
             assert not ("track_key" in line and "listener_key" in line), line
     assert plan_of(monthly).count("Exchange hashpartitioning") <= 4
+
+
+def test_the_daily_listener_aggregate_shuffles_plays_once(gold):
+    daily = gold_plan.agg_daily_listener_streams(gold.fact_streams, gold.dim_track)
+    assert plan_of(daily).count("Exchange hashpartitioning") == 1

@@ -149,20 +149,29 @@ def unplaced_streams(streams: DataFrame, devices: DataFrame, days: DataFrame) ->
 # --- aggregates -------------------------------------------------------------------------------------
 
 def agg_daily_listener_streams(fact: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Per day and listener. Plays of a track are merged first, so distinct tracks are a row count."""
-    per_track = fact.groupBy("date_key", "listener_key", "track_key").agg(
+    """Per day and listener. Plays of a track are merged first, so distinct tracks are a row count.
+
+    Both are merged by artist then, so that distinct artists are one as well; a distinct count beside sums would
+    shuffle all sums once more.
+    """
+    sums = ["stream_count", "total_duration_ms", "shuffle_streams", "offline_streams", "full_plays"]
+    day = ["date_key", "listener_key"]
+    # What a listener plays on a day lies together from here on, so that none of the groupings is a shuffle of its own.
+    plays = fact.join(tracks.select("track_key", "artist_key"), "track_key").repartition(*day)
+    per_track = plays.groupBy(*day, "artist_key", "track_key").agg(
         F.count("*").alias("stream_count"),
         F.sum("duration_played_ms").alias("total_duration_ms"),
         F.sum("shuffle_mode").alias("shuffle_streams"),
         F.sum("offline_mode").alias("offline_streams"),
         F.sum("is_full_play").alias("full_plays"),
     )
-    grouped = per_track.join(tracks.select("track_key", "artist_key"), "track_key").groupBy("date_key", "listener_key")
-    sums = ["stream_count", "total_duration_ms", "shuffle_streams", "offline_streams", "full_plays"]
-    counted = grouped.agg(
-        *(F.sum(column).alias(column) for column in sums),
-        F.count("*").alias("unique_tracks"),
-        F.countDistinct("artist_key").alias("unique_artists"),
+    per_artist = per_track.groupBy(*day, "artist_key").agg(
+        *(F.sum(column).alias(column) for column in sums), F.count("*").alias("unique_tracks")
+    )
+    # An artist that is not known counts as none.
+    counted = per_artist.groupBy(*day).agg(
+        *(F.sum(column).alias(column) for column in [*sums, "unique_tracks"]),
+        F.count("artist_key").alias("unique_artists"),
     )
     return schemas.conform(counted, schemas.GOLD["agg_daily_listener_streams"])
 
