@@ -9,6 +9,7 @@ from tunelake.operators.dedup import drop_copies
 from tunelake.plans import gold as gold_plan
 from tunelake.plans import serving
 from tunelake.plans.gold import Gold
+from tunelake.sources import warehouse_tables
 
 WITHOUT_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
@@ -128,3 +129,20 @@ def test_the_monthly_aggregate_shuffles_plays_by_listener_once(settings, gold):
 def test_the_daily_listener_aggregate_shuffles_plays_once(gold):
     daily = gold_plan.agg_daily_listener_streams(gold.fact_streams, gold.dim_track)
     assert plan_of(daily).count("Exchange hashpartitioning") == 1
+
+
+def test_rows_of_few_row_groups_are_staged_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warehouse_tables, "TASK_ROWS", 100)
+    columns = warehouse_tables.COLUMNS["events"].split(", ")
+    rows = spark.range(0, 950, 1, 1).selectExpr(
+        "id AS event_id", "timestamp_seconds(id) AS ts", "id AS user_id", "'view' AS event_type",
+        "CAST(id AS DOUBLE) AS value", """concat('{"k": ', id, '}') AS props""",
+    )
+    assert rows.columns == [column.split()[0] for column in columns]
+    rows.write.parquet(f"{tmp_path}/events.parquet")  # one file of one row group
+    streams = warehouse_tables.raw_streams(spark, str(tmp_path))
+    assert streams.rdd.getNumPartitions() == 10
+    assert sorted(streams.rdd.glom().map(len).collect())[0] >= 90
+    assert streams.select("stream_id").distinct().count() == 950
+    few = warehouse_tables.spread(rows.limit(100))
+    assert few.rdd.getNumPartitions() == 1

@@ -29,19 +29,32 @@ DEVICE_OF_EVENT = {
     "view": "mobile", "click": "desktop", "signup": "tablet", "error": "smart_speaker", "purchase": "web",
 }
 LOADED_AT = "2024-02-01T00:00:00+00:00"
+#: Rows that one task stages, about.
+TASK_ROWS = 100_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a table dealt out to tasks of about ``TASK_ROWS``.
+
+    A row group is read by one task, whatever its rows, and the files that this task writes are again read by as few:
+    a narrow table of millions of rows would be staged, cleaned and judged by one task each time. The rows are counted
+    from the files' footers; a table of one task's rows stays as it is.
+    """
+    tasks = -(-df.count() // TASK_ROWS)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def _padded(condition: str, value: str) -> str:
     return f"if({condition}, concat('  ', {value}, ' '), {value})"
 
 
 def raw_listeners(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as listeners."""
-    customers = table(spark, folder, "customer").join(
+    customers = spread(table(spark, folder, "customer")).join(
         table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     born = "date_add(DATE '1955-01-01', CAST(c_custkey * 13 % 20000 AS INT))"
@@ -84,7 +97,7 @@ def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:
     released = "date_add(DATE '1990-01-01', CAST(p_partkey * 7 % 12000 AS INT))"
     number = "split_part(p_brand, '#', 2)"
     artist = f"if(p_partkey % 90 = 89, 'art_999', concat('art_', lpad({number}, greatest(3, length({number})), '0')))"
-    return table(spark, folder, "part").selectExpr(
+    return spread(table(spark, folder, "part")).selectExpr(
         "concat('trk_', p_partkey) AS track_id",
         _padded("p_partkey % 50 = 0", "p_name") + " AS title",
         _padded("p_partkey % 30 = 3", artist) + " AS artist_id",
@@ -102,7 +115,7 @@ def raw_tracks(spark: SparkSession, folder: str) -> DataFrame:
 def raw_streams(spark: SparkSession, folder: str) -> DataFrame:
     """Events as streams, some of them loaded twice."""
     device = "CASE event_type " + " ".join(f"WHEN '{e}' THEN '{d}'" for e, d in DEVICE_OF_EVENT.items()) + " END"
-    streams = table(spark, folder, "events").selectExpr(
+    streams = spread(table(spark, folder, "events")).selectExpr(
         "concat('str_', event_id) AS stream_id",
         "if(event_id % 250 = 17, 'usr_unknown', " + _padded("event_id % 50 = 0", "concat('usr_', user_id)")
         + ") AS listener_id",
