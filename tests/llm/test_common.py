@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+import pandas as pd
 
-from tunelake.llm import common
+from tunelake.llm import bag_minhash, common
 from tunelake.llm.common import shingle_hashes, weighted_jaccard, word_hashes
 
 
@@ -111,3 +112,10 @@ def test_weighted_jaccard():
     assert weighted_jaccard(values[0], values[2]) == 0
     assert len(shingle_hashes(word_hashes("a b c d e f"))) == 2
     assert shingle_hashes(word_hashes("a b"))[0] != shingle_hashes(word_hashes("a b c"))[0]
+
+
+def test_work_that_keeps_nothing_lets_go_of_what_a_worker_holds():
+    held = common.worker_state("large", lambda: bytearray(1 << 20))
+    assert common.worker_state("large", lambda: None) is held
+    list(bag_minhash._described(iter([pd.DataFrame({"doc_id": [1, 2], "text": ["one two", None]})])))
+    assert common._held == ["", None]

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import mixed, shingle_hashes, weighted_jaccard, word_hashes, written
+from tunelake.llm.common import mixed, release_state, shingle_hashes, weighted_jaccard, word_hashes, written
 from tunelake.llm.components import components, merged
 
 SIMILARITY = 0.8
@@ -108,6 +108,7 @@ def _restored(entries) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _described(batches):
+    release_state()
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -127,6 +128,7 @@ def _described(batches):
 
 def _similar(threshold: float):
     def compared(batches):
+        release_state()
         for batch in batches:
             kept = [
                 weighted_jaccard(shingle_hashes(word_hashes(a)), shingle_hashes(word_hashes(b))) >= threshold
@@ -151,6 +153,7 @@ def _agreeing(least: float, below: float):
     A pair is returned for the first band that it shares only.
     """
     def compared(batches):
+        release_state()
         for batch in batches:
             found = []
             for row in batch.itertuples(index=False):

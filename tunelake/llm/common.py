@@ -137,6 +137,11 @@ def worker_state(key: str, make: Callable):
     return _held[1]
 
 
+def release_state() -> None:
+    """Let go of what another operator has left in a Python worker, ahead of work that keeps nothing there."""
+    worker_state("", lambda: None)
+
+
 class _Table:
     """Places by two hashes of 64 bits, in the order of the first."""
 
