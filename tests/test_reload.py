@@ -5,10 +5,12 @@ import pytest
 
 from tests.conftest import RUN_AT, stream
 from tunelake import schemas
+from tunelake.operators.lookups import by_shuffle, having_key
+from tunelake.plans import gold as gold_plan
 from tunelake.plans.bronze import Bronze
 from tunelake.plans.gold import MONTH_FOLDER, Calendar, Gold
 from tunelake.plans.reload import LAYER, MonthlyLoads
-from tunelake.plans.silver import Silver
+from tunelake.plans.silver import Silver, with_references
 from tunelake.sources import raw_files
 from tunelake.sources.layers import LayerStore
 
@@ -98,3 +100,32 @@ def test_loads_are_told_apart_by_the_number_that_an_id_ends_in(spark):
 
     ids = spark.createDataFrame([("str_12",), ("  str_7 ",), ("9",), ("x",), (None,)], "stream_id string")
     assert [row[0] for row in ids.select(entry._load_number("stream_id")).collect()] == [12, 7, 9, 0, 0]
+
+
+def test_no_table_that_grows_is_broadcast_by_its_text_ids(spark, layers, gold):
+    """However small the tables are, only the calendar and the devices are broadcast."""
+    silver = layers[1]
+    known = with_references(layers[0].streams, silver.listeners, silver.tracks)
+    streams = silver.streams
+    fact = gold_plan.fact_streams(streams, gold.dim_listener, gold.dim_track, gold.dim_device, gold.dim_date)
+    joins = {"known": known, "fact": fact, "ids": having_key(streams, by_shuffle(silver.streams), "stream_id")}
+    plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in joins.items()}
+    assert {name: plan.count("SortMergeJoin") for name, plan in plans.items()} == {"known": 2, "fact": 2, "ids": 1}
+    assert {name: plan.count("BroadcastHashJoin") for name, plan in plans.items()} == {"known": 0, "fact": 2, "ids": 0}
+
+
+def test_folders_are_replaced_by_one_pass_over_the_rows(spark, tmp_path):
+    store, passed = LayerStore(spark, str(tmp_path)), spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        passed.add(1)
+        return row
+
+    def rows(*months):
+        given = spark.sparkContext.parallelize([(n, month) for n, month in enumerate(months)], 2)
+        return spark.createDataFrame(given.map(counted), "n int, month int")
+
+    store.replace_folders("layer", "t", rows(1, 1, 2, 3), "n int, month int", "month", [1, 2, 3])
+    assert passed.value == 4
+    left = store.replace_folders("layer", "t", rows(2, 2), "n int, month int", "month", [1, 2])
+    assert passed.value == 6 and sorted(row.month for row in left.collect()) == [2, 2, 3]

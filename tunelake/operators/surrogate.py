@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Hex digits of the bucket: 16 ** 3 = 4096 buckets, so the table of bucket offsets is never larger.
+# Hex digits of the bucket: 16 ** 3 = 4096 buckets, so the table of bucket offsets is never larger. The bucket is a whole
+# number, as a broadcast by text takes a whole page of memory for any number of rows.
 BUCKET_DIGITS = 3
 
 
@@ -16,7 +17,8 @@ def with_dense_key(df: DataFrame, natural_key: str, key: str) -> DataFrame:
     on the data alone, not on its partitioning. Each bucket is numbered on its own and shifted by the
     size of the buckets before it; the only window over everything runs on at most 4096 bucket counts.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(natural_key)), 1, BUCKET_DIGITS))
+    digits = F.substring(F.md5(F.col(natural_key)), 1, BUCKET_DIGITS)
+    bucketed = df.withColumn("_bucket", F.conv(digits, 16, 10).cast("int"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tunelake import schemas
 from tunelake.functions import classify, dates, numbers
-from tunelake.operators.lookups import having_key
+from tunelake.operators.lookups import by_shuffle, having_key
 from tunelake.operators.rollups import roll_up
 from tunelake.operators.surrogate import with_dense_key
 from tunelake.plans.silver import Silver, Stage, unstaged
@@ -106,15 +106,15 @@ def fact_streams(
 
     A stream of an unknown device or of a day outside the calendar is left out. Devices and days are
     broadcast: the one is a fixed list, the other a line per calendar day. Listeners and tracks can
-    be of any size, so Spark chooses how to join them.
+    be of any size, so they are joined by a shuffle.
     """
     played = numbers.played_percent(F.col("duration_played_ms"), F.col("duration_ms"))
     return (
         streams.withColumn("date_key", dates.date_key(F.col("streamed_at")))
         .join(F.broadcast(days.select("date_key")), "date_key", "left_semi")
         .join(F.broadcast(devices.select("device_type", "device_key")), "device_type")
-        .join(listeners.select("listener_id", "listener_key"), "listener_id")
-        .join(tracks.select("track_id", "track_key", "duration_ms"), "track_id")
+        .join(by_shuffle(listeners.select("listener_id", "listener_key")), "listener_id")
+        .join(by_shuffle(tracks.select("track_id", "track_key", "duration_ms")), "track_id")
         .select(
             "date_key", "listener_key", "track_key", "device_key", "stream_id", "streamed_at", "duration_played_ms",
             F.coalesce(F.round(played, 2), F.lit(0.0)).alias("duration_played_pct"),

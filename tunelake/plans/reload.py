@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tunelake import schemas
 from tunelake.functions import dates
 from tunelake.operators.dedup import repeated_keys, with_shared_keys
-from tunelake.operators.lookups import having_key
+from tunelake.operators.lookups import by_shuffle, having_key
 from tunelake.plans import gold as gold_plan
 from tunelake.plans import silver as silver_plan
 from tunelake.plans.gold import MONTH_FOLDER, Gold
@@ -57,7 +57,7 @@ class MonthlyLoads:
         months, rows, elsewhere = added.select(MONTH_FOLDER), added, None
         if store.exists(LAYER, "kept"):
             kept = store.read(LAYER, "kept", _KEPT)
-            months = months.unionByName(having_key(kept, added, "stream_id").select(MONTH_FOLDER))
+            months = months.unionByName(having_key(kept, by_shuffle(added), "stream_id").select(MONTH_FOLDER))
         touched = sorted(row[0] for row in months.distinct().collect())  # a row per month
         if not touched:
             return []
@@ -77,21 +77,21 @@ class MonthlyLoads:
         passed = candidates.where("_broken is null").select("stream_id")
         if elsewhere is not None:
             others = elsewhere.where("_orphan is null").where(silver_plan.broken_rule("streams").isNull())
-            passed = passed.unionByName(having_key(others, passed, "stream_id").select("stream_id"))
+            passed = passed.unionByName(having_key(others, by_shuffle(passed), "stream_id").select("stream_id"))
         shared = self._store.replace(LAYER, "shared", repeated_keys(passed, "stream_id"), "stream_id string")
         flagged = with_shared_keys(candidates, {"stream_id": shared})
         return flagged.where("_broken is null and _shared_stream_id is null")
 
     def _aggregate(self, months: list[int]) -> None:
-        gold = self._gold
+        gold, tracks = self._gold, by_shuffle(self._gold.dim_track)
         streams = self.table("streams").where(F.col(MONTH_FOLDER).isin(months))
         fact = gold_plan.fact_streams(streams, gold.dim_listener, gold.dim_track, gold.dim_device, gold.dim_date)
         day_month = F.floor(F.col("date_key") / 100)
         fact = self._replace("fact_streams", fact, day_month, months).where(F.col(MONTH_FOLDER).isin(months))
         for name, counted, month in (
-            ("agg_daily_listener_streams", gold_plan.agg_daily_listener_streams(fact, gold.dim_track), day_month),
+            ("agg_daily_listener_streams", gold_plan.agg_daily_listener_streams(fact, tracks), day_month),
             ("agg_daily_track_streams", gold_plan.agg_daily_track_streams(fact), day_month),
-            ("agg_monthly_genre_streams", gold_plan.agg_monthly_genre_streams(fact, gold.dim_track, gold.dim_date),
+            ("agg_monthly_genre_streams", gold_plan.agg_monthly_genre_streams(fact, tracks, gold.dim_date),
              F.col("year") * 100 + F.col("month")),
         ):
             self._replace(name, counted, month, months)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tunelake import schemas
 from tunelake.functions import dates, text
 from tunelake.operators.dedup import drop_copies, repeated_keys, with_shared_keys
-from tunelake.operators.lookups import having_key, lacking_key
+from tunelake.operators.lookups import by_shuffle, having_key, lacking_key
 from tunelake.plans.bronze import Bronze
 from tunelake.sources.layers import LayerStore
 
@@ -177,9 +177,9 @@ def with_references(given: DataFrame, listeners: DataFrame, tracks: DataFrame, *
     """The same for raw streams that are no copies of one another; ``kept`` columns stay."""
     raw_ids = {f"_{column}": F.col(column) for column in ("stream_id", "track_id", "listener_id")}
     clean = clean_streams(given.withColumns(raw_ids), *raw_ids, *kept)
-    known = clean.join(tracks.select("track_id", F.lit(True).alias("_track")), "track_id", "left").join(
-        listeners.select("listener_id", F.lit(True).alias("_listener")), "listener_id", "left"
-    )
+    known_tracks = by_shuffle(tracks.select("track_id", F.lit(True).alias("_track")))
+    known_listeners = by_shuffle(listeners.select("listener_id", F.lit(True).alias("_listener")))
+    known = clean.join(known_tracks, "track_id", "left").join(known_listeners, "listener_id", "left")
     orphan = F.coalesce(
         F.when(F.col("_track").isNull(), text.labelled("Invalid track_id: ", F.col("_track_id"))),
         F.when(F.col("_listener").isNull(), text.labelled("Invalid listener_id: ", F.col("_listener_id"))),

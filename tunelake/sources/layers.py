@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,12 +43,14 @@ class LayerStore:
         """Replace the folders of some values of ``folder_by``, whose rows ``df`` holds; the others are not touched.
 
         Spark puts the new files of a folder in its place when all are written. A folder that has lost all rows
-        keeps an empty file.
+        keeps an empty file. Which ones have rows is seen as they are written, so that ``df`` is derived once.
         """
         path = self.path(layer, table)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder_by).parquet(path)
-        filled = {row[0] for row in df.select(folder_by).distinct().collect()}  # a row per month
-        for folder in sorted(set(folders) - filled):
+        seen = Observation()
+        rows = (F.count_if(F.col(folder_by) == folder).alias(str(folder)) for folder in folders)
+        observed = df.observe(seen, F.count("*").alias("all"), *rows)
+        observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder_by).parquet(path)
+        for folder in sorted(folder for folder in set(folders) if not seen.get[str(folder)]):
             none = df.where(F.lit(False)).drop(folder_by).coalesce(1)
             none.write.mode("overwrite").parquet(f"{path}/{folder_by}={folder}")
         return self.read(layer, table, ddl)
