@@ -1,4 +1,5 @@
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from tests.conftest import RUN_AT
 from tunelake import schemas
 from tunelake.operators.surrogate import with_dense_key
 from tunelake.plans import bronze as bronze_plan
+from tunelake.plans import exploration, serving
 from tunelake.plans import gold as gold_plan
 from tunelake.plans.gold import Calendar, Gold
 from tunelake.sources.layers import LayerStore
@@ -152,3 +154,27 @@ def test_a_part_of_a_star_obtains_only_the_tables_that_are_used(spark, gold):
     assert spring.listener_tracks.count() > 0
     one = gold.dim_listener.where("listener_id = 'l1'").select("listener_id")
     assert whole.for_listeners(one).fact_streams.select("listener_key").distinct().count() == 1
+
+
+def test_a_star_without_a_written_fact_answers_alike(spark, layers, gold, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    star = gold_plan.writing(store, layers[1], Calendar(), gold_plan.UnwrittenFact).starting_from(
+        **{name: getattr(gold, name) for name in ("dim_artist", "dim_listener", "dim_track", "dim_date", "dim_device")}
+    )
+    for question in (exploration.plays_by_age_group, serving.monthly_trends_by_listener):
+        rows = sorted(map(str, question(star).collect()))
+        assert rows and rows == sorted(map(str, question(gold).collect()))
+    assert not store.exists(gold_plan.LAYER, "fact_streams")
+
+
+def test_monthly_trends_count_each_track_and_artist_once(gold):
+    plays = gold.fact_streams.join(gold.dim_track, "track_key").join(gold.dim_listener, "listener_key").collect()
+    expected = {}
+    for row in plays:
+        expected.setdefault((row.listener_id, row.date_key // 100 % 100), []).append(row)
+    found = {(r.listener_id, r.month): r for r in serving.monthly_trends_by_listener(gold).collect()}
+    assert found.keys() == expected.keys()
+    for key, rows in expected.items():
+        assert (found[key].streams, found[key].unique_tracks, found[key].unique_artists) == (
+            len(rows), len({r.track_key for r in rows}), len({r.artist_key for r in rows}))
+        assert found[key].month_name == date(2025, key[1], 1).strftime("%B")

@@ -100,9 +100,9 @@ def dim_track(tracks: DataFrame, artists: DataFrame) -> DataFrame:
 # --- fact -------------------------------------------------------------------------------------------
 
 def fact_streams(
-    streams: DataFrame, listeners: DataFrame, tracks: DataFrame, devices: DataFrame, days: DataFrame,
+    streams: DataFrame, listeners: DataFrame, tracks: DataFrame, devices: DataFrame, days: DataFrame, *described: str,
 ) -> DataFrame:
-    """Streams with the keys of all dimensions, without ``stream_key``.
+    """Streams with the keys of all dimensions, without ``stream_key``; ``described`` columns of the tracks stay.
 
     A stream of an unknown device or of a day outside the calendar is left out. Devices and days are
     broadcast: the one is a fixed list, the other a line per calendar day. Listeners and tracks can
@@ -114,12 +114,13 @@ def fact_streams(
         .join(F.broadcast(days.select("date_key")), "date_key", "left_semi")
         .join(F.broadcast(devices.select("device_type", "device_key")), "device_type")
         .join(by_shuffle(listeners.select("listener_id", "listener_key")), "listener_id")
-        .join(by_shuffle(tracks.select("track_id", "track_key", "duration_ms")), "track_id")
+        .join(by_shuffle(tracks.select("track_id", "track_key", "duration_ms", *described)), "track_id")
         .select(
             "date_key", "listener_key", "track_key", "device_key", "stream_id", "streamed_at", "duration_played_ms",
             F.coalesce(F.round(played, 2), F.lit(0.0)).alias("duration_played_pct"),
             "shuffle_mode", "offline_mode",
             F.when(played >= classify.FULL_PLAY_PERCENT, 1).otherwise(0).alias("is_full_play"),
+            *described,
         )
     )
 
@@ -255,6 +256,11 @@ class Gold:
         fact = fact_streams(self._silver.streams, self.dim_listener, self.dim_track, self.dim_device, self.dim_date)
         return self._stage("fact_streams", fact)
 
+    @cached_property
+    def plays(self) -> DataFrame:
+        """The fact with the artist of each track."""
+        return self.fact_streams.join(self.dim_track.select("track_key", "artist_key"), "track_key")
+
     @cached_property
     def agg_daily_listener_streams(self) -> DataFrame:
         counted = agg_daily_listener_streams(self.fact_streams, self.dim_track)
@@ -319,6 +325,20 @@ class Gold:
         )
 
 
+class UnwrittenFact(Gold):
+    """A star whose fact is not written: what reads it derives the columns that it uses, and no others."""
+
+    @cached_property
+    def plays(self) -> DataFrame:
+        return fact_streams(
+            self._silver.streams, self.dim_listener, self.dim_track, self.dim_device, self.dim_date, "artist_key"
+        )
+
+    @cached_property
+    def fact_streams(self) -> DataFrame:
+        return self.plays.drop("artist_key")
+
+
 class GivenGold(Gold):
     """Gold tables that exist already."""
 
@@ -335,7 +355,7 @@ BY_MONTH = ["fact_streams", "agg_daily_listener_streams", "agg_daily_track_strea
 MONTH_FOLDER = "date_month"
 
 
-def writing(store: LayerStore, silver: Silver, calendar: Calendar) -> Gold:
+def writing(store: LayerStore, silver: Silver, calendar: Calendar, kind: type[Gold] = Gold) -> Gold:
     """The layer, each table written on first use, before the next ones read it."""
 
     def stage(name: str, df: DataFrame) -> DataFrame:
@@ -352,7 +372,7 @@ def writing(store: LayerStore, silver: Silver, calendar: Calendar) -> Gold:
         ddl = f"{ddl}, {MONTH_FOLDER} int"
         return store.replace(LAYER, name, schemas.conform(monthly, ddl), ddl, MONTH_FOLDER)
 
-    return Gold(store.spark, silver, calendar, stage)
+    return kind(store.spark, silver, calendar, stage)
 
 
 def read(store: LayerStore) -> Gold:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunelake.operators.lookups import by_shuffle
 from tunelake.plans.bronze import RAW_FILES, Bronze
 from tunelake.sources.raw_files import from_frame
 
@@ -146,9 +147,8 @@ def order_line_streams(spark: SparkSession, folder: str) -> DataFrame:
 
     Lines have no key of their own, so ``stream_id`` is not unique here.
     """
-    lines = table(spark, folder, "lineitem").join(
-        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    orders = by_shuffle(table(spark, folder, "orders"))
+    lines = table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     devices = ", ".join(f"'{device}'" for device in DEVICE_OF_EVENT.values())
     return lines.selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS stream_id",
