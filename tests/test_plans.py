@@ -50,6 +50,12 @@ def test_only_bounded_tables_are_broadcast_by_hint(settings, gold, view):
     assert keys <= {"date_key", "device_key"}
 
 
+def test_the_plays_of_a_listener_and_month_are_shuffled_once(settings, gold):
+    settings(**WITHOUT_BROADCAST)
+    plan = plan_of(serving.VIEWS["v_monthly_trends_by_listener"](gold)).split("Initial Plan")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(listener_key#\d+L?, month#\d+", plan)) == 1
+
+
 def test_a_large_dimension_is_joined_by_shuffle(settings, spark, layers, gold):
     settings(**WITHOUT_BROADCAST)
     plan = plan_of(Gold(spark, layers[1], gold_plan.Calendar()).starting_from(

@@ -353,16 +353,20 @@ def listening_personality(
 
 
 def monthly_trends_by_listener(gold: Gold) -> DataFrame:
-    """Per listener and month of the year; equal months of different years are one row."""
-    per_track = roll_up(
-        gold.fact_streams.join(_days(gold, "month", "month_name"), "date_key"),
-        "listener_key", "month", "month_name", "track_key",
-    )
-    monthly = (
-        per_track.join(gold.dim_track.select("track_key", "artist_key"), "track_key")
-        .groupBy("listener_key", "month", "month_name")
-        .agg(*summed(), F.count("*").alias("unique_tracks"), F.countDistinct("artist_key").alias("unique_artists"))
-    )
+    """Per listener and month of the year; equal months of different years are one row.
+
+    Tracks and artists are counted as rows of earlier groupings, as in the daily aggregate.
+    """
+    month = ["listener_key", "month"]
+    any_day = F.min("date_key").alias("date_key")  # whose name is looked up in the end
+    # What a listener plays in a month lies together from here on, so that none of the groupings is a shuffle of its own.
+    plays = gold.plays.join(_days(gold, "month"), "date_key").repartition(*month)
+    per_track = roll_up(plays, *month, "artist_key", "track_key", extra=(any_day,))
+    per_artist = per_track.groupBy(*month, "artist_key").agg(*summed(), F.count("*").alias("unique_tracks"), any_day)
+    # An artist that is not known counts as none.
+    monthly = per_artist.groupBy(*month).agg(
+        *summed(), F.sum("unique_tracks").alias("unique_tracks"), F.count("artist_key").alias("unique_artists"), any_day
+    ).join(_days(gold, "month_name"), "date_key")
     return monthly.join(_listener_names(gold), "listener_key").select(
         "listener_id", "listener_name", "month", "month_name", "streams", "unique_tracks", "unique_artists",
         numbers.in_minutes(F.col("played_ms")).alias("minutes_listened"),
