@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tunelake.llm import bag_minhash
+from tunelake.llm import bag_minhash, common
 from tunelake.llm.common import shingle_hashes, weighted_jaccard, word_hashes
 
 SCHEMA = "doc_id long, text string, class_id string, root string"
@@ -93,3 +93,49 @@ def test_nulls_empty_and_repeated_rows(spark):
         [(1, 1), (2, 2), (3, 3), (None, 5), (7, 5), (7, 5), (5, 5), (None, None), (9, 5), (9, 5), (20, 20)], key=str
     )
     assert bag_minhash.near_copies(docs.limit(0)).count() == 0
+
+
+def _shuffled_bytes(plan):
+    """Bytes of the rows that the exchanges of a plan have written; reused ones count once."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _shuffled_bytes(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return _shuffled_bytes(plan.plan())
+    own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(_shuffled_bytes(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def shuffled_bytes(df):
+    """The collected rows, and the bytes shuffled for them."""
+    rows = df.collect()
+    return rows, _shuffled_bytes(df._jdf.queryExecution().executedPlan())
+
+
+def unrelated(count, words=60):
+    rng = random.Random(3)
+    return [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(words))) for i in range(count)]
+
+
+def test_texts_that_no_pair_names_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(common, "FILTER_ROWS", 512)
+    rows = unrelated(1500)
+    rows[77] = (77, rows[3][1] + " more")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).localCheckpoint()
+    pairs = spark.createDataFrame([(3, 77), (4, 5)], "a long, b long")
+    found, moved = shuffled_bytes(bag_minhash.links(pairs, docs))
+    assert [tuple(r) for r in found] == [(3, 77)] and moved < sum(len(text) for _, text in rows) / 4
+    ids = spark.createDataFrame([(3,), (3,), (9,), (5000,)], "doc_id long")
+    signed, moved = shuffled_bytes(bag_minhash.signatures(docs, ids))
+    assert sorted(r.doc_id for r in signed) == [3, 9] and moved < sum(len(text) for _, text in rows) / 4
+
+
+def test_signatures_are_written_for_members_of_buckets_with_several_classes_only(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(bag_minhash, "written", lambda df, name: kept.setdefault(name, common.written(df, name)))
+    # The second text is too far from the first, which is the smallest member of their bucket.
+    first = " ".join(f"w{i}" for i in range(400))
+    rows = unrelated(40) + [(50, first), (51, " ".join(f"w{i}" for i in range(122, 400))), (52, None)]
+    got = bag_minhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i for i, _ in rows}
+    assert kept["bag-minhash"].columns == ["doc_id", "low", "high", "bands"]
+    assert {r.doc_id for r in kept["signatures"].collect()} == {50, 51}

@@ -119,3 +119,14 @@ def test_work_that_keeps_nothing_lets_go_of_what_a_worker_holds():
     assert common.worker_state("large", lambda: None) is held
     list(bag_minhash._described(iter([pd.DataFrame({"doc_id": [1, 2], "text": ["one two", None]})])))
     assert common._held == ["", None]
+
+
+def test_every_id_is_perhaps_among_the_ids_and_few_others_are(spark):
+    ids = spark.range(0, 3000, 3).selectExpr("id AS doc_id").unionByName(spark.range(5).selectExpr("id * 3 AS doc_id"))
+    rows = spark.range(6000).selectExpr("id AS doc_id", "id % 7 AS other")
+    told = common.perhaps_among(rows, ids)
+    assert told.columns == ["doc_id", "other", "perhaps"]
+    found = {r.doc_id: r.perhaps for r in told.collect()}
+    assert len(found) == 6000 and all(found[i] for i in range(0, 3000, 3)) and sum(found.values()) < 1010
+    assert told.where("doc_id = 5").select("other").first().other == 5
+    assert common.perhaps_among(rows, ids.limit(0)).where("perhaps").count() == 0

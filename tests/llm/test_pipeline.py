@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 import corpus_pipeline
 from tests.llm.test_bag_minhash import _brute_force as classes_of
+from tests.llm.test_bag_minhash import shuffled_bytes, unrelated
 from tests.llm.test_decontaminate import _brute_force as findings_of
 from tests.llm.test_token_files import _expected as ids_of
-from tunelake.llm import mixing
+from tunelake.llm import common, mixing
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
@@ -102,3 +103,13 @@ def test_different_texts_of_one_id_are_judged_each_by_itself(spark, tmp_path):
     assert [r[:2] for r in kept[0]] == [r[:2] for r in sorted([*rows[:3], rows[4], *rows[7:]], key=str)]
     clean = corpus_pipeline.benchmark(spark, docs, str(tmp_path)).collect()
     assert sorted((tuple(r) for r in clean), key=str) == [r for r in kept[0] if item not in r[1]]
+
+
+def test_texts_alone_in_their_class_are_not_shuffled_again(spark, monkeypatch):
+    monkeypatch.setattr(common, "FILTER_ROWS", 512)
+    rows = unrelated(600, words=120)
+    rows += [(900, rows[8][1]), (901, rows[9][1] + " more"), (30, rows[30][1]), (None, "no id"), (902, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).localCheckpoint()
+    kept, moved = shuffled_bytes(corpus_pipeline.near_copies(spark, docs, ""))
+    assert sorted(map(tuple, kept), key=str) == sorted([*rows[:600], *rows[603:]], key=str)
+    assert moved < sum(len(text) for _, text in rows[:600]) / 4

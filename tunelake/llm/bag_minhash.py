@@ -14,6 +14,10 @@ still in different classes may be linked through others: their signatures are co
 whose signatures agree in nearly enough entries are compared exactly, the likeliest first, so that most are in one
 class before the others are looked at.
 
+Signatures are six times as large as their bands, so only the bands of all documents are written; the few members of
+such buckets get their signatures made again. Texts are shuffled for documents that a pair or such a bucket names, and
+for the few others that ``perhaps_among`` cannot tell from them.
+
 Rules: a document without words (null or empty text) is alone in its class. Rows without id join the class of
 their exact copies and have none otherwise. Rows of one id are one document: its texts share a class. Other
 columns are not read. An empty table gives an empty table. Nothing is left out: buckets have no size limit.
@@ -27,7 +31,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunelake.llm.common import mixed, release_state, shingle_hashes, weighted_jaccard, word_hashes, written
+from tunelake.llm.common import (
+    mixed, perhaps_among, release_state, shingle_hashes, weighted_jaccard, word_hashes, written,
+)
 from tunelake.llm.components import components, merged
 
 SIMILARITY = 0.8
@@ -107,6 +113,10 @@ def _restored(entries) -> tuple[np.ndarray, np.ndarray]:
     return data[:, :4 * BANDED].copy().view("<u4"), data[:, 4 * BANDED:].copy().view("<u2")
 
 
+def _signature_of(words: np.ndarray) -> np.ndarray:
+    return signature(*np.unique(shingle_hashes(words), return_counts=True))
+
+
 def _described(batches):
     release_state()
     for batch in batches:
@@ -114,18 +124,39 @@ def _described(batches):
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
             words = word_hashes(text)
             if not len(words):
-                rows.append((doc_id, None, None, None, None))
+                rows.append((doc_id, None, None, None))
                 continue
             content = xxhash.xxh3_128_intdigest(words.tobytes())
-            entries = signature(*np.unique(shingle_hashes(words), return_counts=True))
             low, high = np.array([content & (2**64 - 1), content >> 64], np.uint64).view(np.int64).tolist()
-            rows.append((doc_id, low, high, band_keys(entries[:BANDED]), _shortened(entries)))
-        described = pd.DataFrame(rows, columns=["doc_id", "low", "high", "bands", "entries"])
+            rows.append((doc_id, low, high, band_keys(_signature_of(words)[:BANDED])))
+        described = pd.DataFrame(rows, columns=["doc_id", "low", "high", "bands"])
         for column in ("doc_id", "low", "high"):
             described[column] = described[column].astype("Int64")
         yield described
 
 
+def _signed(batches):
+    release_state()
+    for batch in batches:
+        words = map(word_hashes, batch["text"])
+        rows = [
+            (doc_id, _shortened(_signature_of(own))) for doc_id, own in zip(batch["doc_id"], words, strict=True) if len(own)
+        ]
+        yield pd.DataFrame(rows, columns=["doc_id", "entries"]).astype({"doc_id": "int64"})
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents ``ids (doc_id)``, and of a few others."""
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    return perhaps_among(texts, ids).where("perhaps").drop("perhaps")
+
+
+def signatures(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, entries`` of the documents ``ids (doc_id)`` that have words."""
+    # No left semi join: Spark would move it ahead of the filter, and shuffle all texts.
+    return _texts(docs, ids).join(ids.distinct(), "doc_id").mapInPandas(_signed, "doc_id long, entries binary")
+
+
 def _similar(threshold: float):
     def compared(batches):
         release_state()
@@ -141,7 +172,7 @@ def _similar(threshold: float):
 
 def links(pairs: DataFrame, docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The pairs ``a, b`` whose documents have the similarity wanted, compared exactly."""
-    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")))
     with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     with_both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     return with_both.select("a", "b", "text_a", "text_b").mapInPandas(_similar(threshold), "a long, b long").distinct()
@@ -218,13 +249,12 @@ def near_copies(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id`` for every row of ``docs (doc_id, text)``; the class id is the smallest id of the class."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = written(
-        docs.mapInPandas(_described, "doc_id long, low long, high long, bands array<long>, entries binary"),
-        "bag-minhash",
+        docs.mapInPandas(_described, "doc_id long, low long, high long, bands array<long>"), "bag-minhash"
     )
     exact = written(
         described.where("low IS NOT NULL").groupBy("low", "high").agg(F.min("doc_id").alias("original")), "exact-copies"
     )
-    in_exact = described.drop("entries").join(exact, ["low", "high"])
+    in_exact = described.join(exact, ["low", "high"])
     members = in_exact.where("doc_id = original").select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last")
     buckets = written(members.join(shared, "key").select("key", "band", "hub", "doc_id").distinct(), "buckets")
@@ -241,12 +271,12 @@ def near_copies(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     found = written(links(with_hub, docs, threshold).unionByName(same_id), "links")
     classes = written(components(found), "classes")
 
-    # An id with several texts has several signatures; the buckets hold it once.
-    entries = described.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "entries")
     below = 2.0
     for least in LIKELY:
         apart = written(_apart(buckets, classes), "buckets-apart")
-        if below > 1.0:  # buckets of one block are done at once
+        if below > 1.0:  # buckets of one block are done at once; later rounds need no other documents
+            # An id with several texts has several signatures; the buckets hold it once.
+            entries = written(signatures(docs, apart.select("doc_id")), "signatures")
             small = likely_links(apart.where("blocks = 1"), entries, LIKELY[-1], below)
             likely = small.unionByName(likely_links(apart.where("blocks > 1"), entries, least, below)).distinct()
         else:

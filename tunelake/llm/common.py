@@ -36,6 +36,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of the table that ``perhaps_among`` broadcasts, each with the bits of 64 hash places.
+FILTER_ROWS = 1 << 17
+
+
+def perhaps_among(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``rows`` with a column ``perhaps``, which is true wherever ``key`` is among ``ids (key)``.
+
+    It is false for nearly all others, as long as the different ids are few beside ``64 * FILTER_ROWS`` (8.4 million):
+    with a tenth of that one other row in ten is taken along. So rows that a join would shuffle in vain stay where
+    they are; the join itself is still needed. The table broadcast has ``FILTER_ROWS`` rows for any input.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(64 * FILTER_ROWS))
+    word, bit = F.floor(place / 64).cast("long").alias("_word"), (place % 64).cast("int").alias("_bit")
+    none = ids.sparkSession.range(FILTER_ROWS).select(F.col("id").alias("_word"), F.lit(0).cast("long").alias("_bits"))
+    own = ids.select(word, bit).select("_word", F.expr("shiftleft(1L, _bit)").alias("_bits"))
+    words = none.unionByName(own).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    placed = rows.select("*", word, bit).join(F.broadcast(words), "_word")
+    return placed.withColumn("perhaps", F.expr("_bits & shiftleft(1L, _bit) <> 0")).drop("_word", "_bit", "_bits")
+
+
 def training_row(key: str, modulus: int, held_out: int) -> F.Column:
     """Whether a row may be learnt from, by the crc32 of its id as text; rows without an id may not."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % modulus != held_out, F.lit(False))
