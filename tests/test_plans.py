@@ -152,3 +152,23 @@ def test_rows_of_few_row_groups_are_staged_by_many_tasks(spark, tmp_path, monkey
     assert streams.select("stream_id").distinct().count() == 950
     few = warehouse_tables.spread(rows.limit(100))
     assert few.rdd.getNumPartitions() == 1
+
+
+def test_details_shuffle_plays_before_days_and_devices_are_looked_up(settings, gold):
+    settings(**WITHOUT_BROADCAST)
+    plan = plan_of(serving.stream_details(gold))
+    lookups = [plan.index(f"BroadcastHashJoin [{key}#") for key in ("date_key", "device_key")]
+    assert max(lookups) < plan.index("Exchange hashpartitioning")
+
+
+def test_details_of_an_unwritten_fact_shuffle_plays_once_by_each_id(settings, spark, layers, gold):
+    settings(**WITHOUT_BROADCAST)
+    star = gold_plan.UnwrittenFact(spark, layers[1], gold_plan.Calendar()).starting_from(
+        **{name: getattr(gold, name) for name in ("dim_artist", "dim_listener", "dim_track", "dim_date", "dim_device")}
+    )
+    details = serving.stream_details(star)
+    shuffles = re.findall(r"Exchange hashpartitioning\((\w+)#", plan_of(details))
+    # Both sides of each join; the artists are joined to the tracks.
+    assert sorted(shuffles) == sorted(["listener_id", "track_id", "artist_key"] * 2)
+    rows = sorted(map(str, details.collect()))
+    assert len(rows) == 61 and rows == sorted(map(str, serving.stream_details(gold).collect()))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import cached_property
@@ -101,8 +101,10 @@ def dim_track(tracks: DataFrame, artists: DataFrame) -> DataFrame:
 
 def fact_streams(
     streams: DataFrame, listeners: DataFrame, tracks: DataFrame, devices: DataFrame, days: DataFrame, *described: str,
+    of_listeners: Sequence[str] = (),
 ) -> DataFrame:
-    """Streams with the keys of all dimensions, without ``stream_key``; ``described`` columns of the tracks stay.
+    """Streams with the keys of all dimensions, without ``stream_key``; ``described`` columns of the tracks stay, and
+    ``of_listeners`` those of the listeners.
 
     A stream of an unknown device or of a day outside the calendar is left out. Devices and days are
     broadcast: the one is a fixed list, the other a line per calendar day. Listeners and tracks can
@@ -113,18 +115,23 @@ def fact_streams(
         streams.withColumn("date_key", dates.date_key(F.col("streamed_at")))
         .join(F.broadcast(days.select("date_key")), "date_key", "left_semi")
         .join(F.broadcast(devices.select("device_type", "device_key")), "device_type")
-        .join(by_shuffle(listeners.select("listener_id", "listener_key")), "listener_id")
-        .join(by_shuffle(tracks.select("track_id", "track_key", "duration_ms", *described)), "track_id")
+        .join(by_shuffle(_once(listeners, "listener_id", "listener_key", *of_listeners)), "listener_id")
+        .join(by_shuffle(_once(tracks, "track_id", "track_key", "duration_ms", *described)), "track_id")
         .select(
             "date_key", "listener_key", "track_key", "device_key", "stream_id", "streamed_at", "duration_played_ms",
             F.coalesce(F.round(played, 2), F.lit(0.0)).alias("duration_played_pct"),
             "shuffle_mode", "offline_mode",
             F.when(played >= classify.FULL_PLAY_PERCENT, 1).otherwise(0).alias("is_full_play"),
-            *described,
+            *of_listeners, *described,
         )
     )
 
 
+def _once(df: DataFrame, *columns: str) -> DataFrame:
+    """Some columns, also those named twice."""
+    return df.select(*dict.fromkeys(columns))
+
+
 def with_stream_key(fact: DataFrame) -> DataFrame:
     """Number the fact rows; unique within one write and needs no shuffle."""
     return fact.withColumn("stream_key", F.monotonically_increasing_id() + 1)
@@ -261,6 +268,11 @@ class Gold:
         """The fact with the artist of each track."""
         return self.fact_streams.join(self.dim_track.select("track_key", "artist_key"), "track_key")
 
+    def described(self, listeners: DataFrame, tracks: DataFrame) -> DataFrame:
+        """The fact with what is given of its listeners and tracks: columns of the dimensions, with their ids and keys, and
+        with the ``duration_ms`` of the tracks."""
+        return self.fact_streams.join(listeners, "listener_key").join(tracks, "track_key")
+
     @cached_property
     def agg_daily_listener_streams(self) -> DataFrame:
         counted = agg_daily_listener_streams(self.fact_streams, self.dim_track)
@@ -338,6 +350,18 @@ class UnwrittenFact(Gold):
     def fact_streams(self) -> DataFrame:
         return self.plays.drop("artist_key")
 
+    def described(self, listeners: DataFrame, tracks: DataFrame) -> DataFrame:
+        """What is given is taken along as the keys are looked up, so that the rows are shuffled by ids only, and once by each.
+
+        The day is in the time, so it is not shuffled beside it.
+        """
+        fact = fact_streams(
+            self._silver.streams, listeners, tracks, self.dim_device, self.dim_date,
+            *(column for column in tracks.columns if column != "track_key"),
+            of_listeners=[column for column in listeners.columns if column != "listener_key"],
+        )
+        return fact.withColumn("date_key", dates.date_key(F.col("streamed_at")))
+
 
 class GivenGold(Gold):
     """Gold tables that exist already."""

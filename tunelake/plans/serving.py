@@ -81,7 +81,10 @@ def _total(column: str, *group: str) -> Column:
 # --- semantic views --------------------------------------------------------------------------------
 
 def stream_details(gold: Gold) -> DataFrame:
-    """One row per stream with all its context."""
+    """One row per stream with all its context.
+
+    Days and devices are looked up last, so that their text is in no shuffle.
+    """
     listeners = _listener_names(
         gold, F.col("email").alias("listener_email"), "age_group", F.col("country").alias("listener_country"),
         "subscription_type", "tenure_months",
@@ -91,26 +94,23 @@ def stream_details(gold: Gold) -> DataFrame:
         "popularity_tier", F.col("years_active").alias("artist_years_active"),
     )
     tracks = gold.dim_track.select(
-        "track_key", "track_id", F.col("title").alias("track_title"), "artist_key", "album",
-        F.col("duration_ms").alias("track_duration_ms"),
-        numbers.in_seconds(F.col("duration_ms")).alias("track_duration_sec"),
+        "track_key", "track_id", F.col("title").alias("track_title"), "artist_key", "album", "duration_ms",
         "duration_bucket", "genre", "release_year", "explicit",
-    ).join(artists, "artist_key")
+    ).join(artists, "artist_key").drop("artist_key")
     days = _days(
         gold, F.col("full_date").alias("stream_date"), "year", "quarter", "month", "month_name", "week_of_year",
         "day_of_week", "day_name", "is_weekend", "is_holiday",
     )
     played = F.col("duration_played_ms")
     return (
-        gold.fact_streams.join(days, "date_key")
+        gold.described(listeners, tracks).join(days, "date_key")
         .join(F.broadcast(gold.dim_device), "device_key")
-        .join(listeners, "listener_key")
-        .join(tracks, "track_key")
         .select(
             "stream_id", "streamed_at",
             "listener_id", "listener_name", "listener_email", "age_group", "listener_country", "subscription_type",
             "tenure_months",
-            "track_id", "track_title", "album", "track_duration_ms", "track_duration_sec", "duration_bucket", "genre",
+            "track_id", "track_title", "album", F.col("duration_ms").alias("track_duration_ms"),
+            numbers.in_seconds(F.col("duration_ms")).alias("track_duration_sec"), "duration_bucket", "genre",
             "release_year", "explicit",
             "artist_id", "artist_name", "artist_genre", "popularity_tier", "artist_years_active",
             "device_type", "device_category",
